@@ -5,9 +5,9 @@
 
 from __future__ import annotations
 
-import functools
+from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 #: First word of a part's name to label tag; the last three are no health claims.
 LABELS = {
@@ -37,19 +37,23 @@ CATEGORIES = {
 SHIFT_SECONDS = 788918400
 
 
-def _bit(word: Column, vocabulary: dict[str, str]) -> Column:
+def _case(subject: str, values: Iterable[str]) -> str:
+    """Simple CASE giving the value at a position that counts from 0."""
+    whens = " ".join(f"WHEN {i} THEN '{v}'" for i, v in enumerate(values))
+    return f"CASE {subject} {whens} END"
+
+
+def _bit(word: str, vocabulary: dict[str, str]) -> str:
     """The word's own bit; 0 for a word that is not in the vocabulary."""
-    case = F
-    for position, known in enumerate(vocabulary):
-        case = case.when(word == known, 1 << position)
-    return case.otherwise(0)
+    whens = " ".join(f"WHEN '{known}' THEN {1 << i}" for i, known in enumerate(vocabulary))
+    return f"CASE {word} {whens} ELSE 0 END"
 
 
-def _tags_of(mask: Column, vocabulary: dict[str, str]) -> Column:
+def _tags_of(mask: str, vocabulary: dict[str, str]) -> str:
     """Sorted tags of the bits set in a mask."""
-    tags = sorted((tag, 1 << position) for position, tag in enumerate(vocabulary.values()))
-    present = [F.when(F.coalesce(mask, F.lit(0)).bitwiseAND(bit) != 0, tag) for tag, bit in tags]
-    return F.array_compact(F.array(*present))
+    tags = sorted((tag, 1 << i) for i, tag in enumerate(vocabulary.values()))
+    present = ", ".join(f"CASE WHEN {mask} & {bit} <> 0 THEN '{tag}' END" for tag, bit in tags)
+    return f"array_compact(array({present}))"
 
 
 def _order_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,18 +63,18 @@ def _order_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     to Spark: broadcast below the limit, else a sort-merge join in which the
     adaptive skew join splits a hot part.
     """
-    part = spark.read.parquet(f"{sf_dir}/part.parquet").select(
-        F.col("p_partkey").alias("l_partkey"),
-        _bit(F.split_part("p_name", F.lit(" "), F.lit(1)), LABELS).alias("label_bit"),
-        _bit(F.split_part("p_name", F.lit(" "), F.lit(2)), CATEGORIES).alias("category_bit"),
+    part = spark.read.parquet(f"{sf_dir}/part.parquet").selectExpr(
+        "p_partkey AS l_partkey",
+        _bit("split_part(p_name, ' ', 1)", LABELS) + " AS label_bit",
+        _bit("split_part(p_name, ' ', 2)", CATEGORIES) + " AS category_bit",
     )
     lines = (
         spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-        .filter(F.col("l_discount") > 0.02)
-        .select(
+        .filter("l_discount > 0.02D")
+        .selectExpr(
             "l_orderkey",
             "l_partkey",
-            (F.col("l_suppkey") % 100 * 3 + F.col("l_linenumber") % 3).cast("int").alias("additive"),
+            "CAST(l_suppkey % 100 * 3 + l_linenumber % 3 AS INT) AS additive",
         )
     )
     return (
@@ -84,73 +88,50 @@ def _order_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _additive(number: Column) -> Column:
-    suffix = F.when(number % 3 == 0, "i").when(number % 3 == 1, "ii").otherwise("")
-    stem = ((number - number % 3) / 3 + 400).cast("int").cast("string")
-    return F.concat(F.lit("en:e"), stem, suffix)
-
-
-def _texts(text: Column) -> Column:
-    return F.array(F.struct(F.lit("pt").alias("lang"), text.alias("text")))
+_ADDITIVE = "concat('en:e', 400 + n DIV 3, " + _case("n % 3", ["i", "ii", ""]) + ")"
+_NAME = "concat(" + _case(
+    "o_orderkey % 4", ["Leite Integral ", "LEITE Semi Integral ", "Pão ", "Biscoito "]
+) + ", o_orderkey)"
+_NO_TEXTS = "CAST(array() AS ARRAY<STRUCT<lang: STRING, text: STRING>>)"
+_CREATED = f"CAST(unix_date(CAST(o_orderdate AS DATE)) AS BIGINT) * 86400 + {SHIFT_SECONDS}"
+
+
+def _texts(text: str) -> str:
+    return f"array(named_struct('lang', 'pt', 'text', {text}))"
+
+
+#: Source column to the expression that derives it from an order and its tags.
+_COLUMNS = {
+    "code": "concat(" + _case("o_orderkey % 3", ["789", "790", "400"]) + ", lpad(o_orderkey, 10, '0'))",
+    "product_name": f"""CASE WHEN o_orderkey % 97 = 0 THEN {_NO_TEXTS}
+        WHEN o_orderkey % 89 = 0 THEN {_texts("CAST(NULL AS STRING)")} ELSE {_texts(_NAME)} END""",
+    "nova_group": """CAST(CASE WHEN o_orderstatus = 'F' THEN 4
+        WHEN o_orderstatus = 'O' THEN 1 + o_orderkey % 3
+        WHEN o_orderstatus = 'P' AND o_orderkey % 10 <> 0 THEN 4 END AS INT)""",
+    "nutriscore_grade": """CASE o_orderpriority WHEN '1-URGENT' THEN 'A' WHEN '2-HIGH' THEN 'b'
+        WHEN '3-MEDIUM' THEN if(o_orderstatus = 'O', 'd', 'c')
+        WHEN '4-NOT SPECIFIED' THEN 'unknown' WHEN '5-LOW' THEN 'e' END""",
+    "labels_tags": _tags_of("label_mask", LABELS),
+    "brands": "CASE WHEN o_orderkey % 50 = 0 THEN NULL WHEN o_orderkey % 51 = 0 THEN '' ELSE concat("
+    + _case("o_orderkey % 3", ["Café ", "CAFE ", " cafe "])
+    + ", o_custkey % 40) END",
+    "categories": _case("o_custkey % 3", ["Laticínios, Leites", "LATICÍNIOS", "Padaria, pão"]),
+    "categories_tags": _tags_of("category_mask", CATEGORIES),
+    "additives_tags": f"array_sort(transform(coalesce(additives, CAST(array() AS ARRAY<INT>)), n -> {_ADDITIVE}))",
+    "additives_n": "if(o_orderkey % 7 <> 0, coalesce(size(additives), 0), NULL)",
+    "ingredients_text": f"""if(o_orderkey % 5 = 0, {_NO_TEXTS},
+        {_texts("concat('ingredientes ', o_custkey)")})""",
+    "ingredients_n": "if(o_custkey % 11 <> 0, CAST(o_custkey % 30 AS INT), NULL)",
+    "created_t": _CREATED,
+    "last_modified_t": f"{_CREATED} + o_custkey % 1000 * 86400",
+}
 
 
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The catalogue in the source schema."""
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
     tagged = orders.join(_order_tags(spark, sf_dir), "o_orderkey", "left")
-
-    key, cust = F.col("o_orderkey"), F.col("o_custkey")
-    status, priority = F.col("o_orderstatus"), F.col("o_orderpriority")
-    by_three = functools.partial(_pick, key % 3)
-    by_four = functools.partial(_pick, key % 4)
-    key_text = key.cast("string")
-    additives = F.coalesce(F.col("additives"), F.array().cast("array<int>"))
-    day = F.to_date(F.col("o_orderdate"))
-    created = F.unix_date(day).cast("bigint") * 86400 + SHIFT_SECONDS
-
-    no_texts = F.array().cast("array<struct<lang:string,text:string>>")
-    name = F.concat(by_four("Leite Integral ", "LEITE Semi Integral ", "Pão ", "Biscoito "), key_text)
-    return tagged.select(
-        F.concat(by_three("789", "790", "400"), F.lpad(key_text, 10, "0")).alias("code"),
-        F.when(key % 97 == 0, no_texts)
-        .when(key % 89 == 0, _texts(F.lit(None).cast("string")))
-        .otherwise(_texts(name))
-        .alias("product_name"),
-        F.when(status == "F", 4)
-        .when(status == "O", 1 + key % 3)
-        .when((status == "P") & (key % 10 != 0), 4)
-        .cast("int")
-        .alias("nova_group"),
-        F.when(priority == "1-URGENT", "A")
-        .when(priority == "2-HIGH", "b")
-        .when(priority == "3-MEDIUM", F.when(status == "O", "d").otherwise("c"))
-        .when(priority == "4-NOT SPECIFIED", "unknown")
-        .when(priority == "5-LOW", "e")
-        .alias("nutriscore_grade"),
-        _tags_of(F.col("label_mask"), LABELS).alias("labels_tags"),
-        F.when(key % 50 == 0, None)
-        .when(key % 51 == 0, "")
-        .otherwise(F.concat(by_three("Café ", "CAFE ", " cafe "), (cust % 40).cast("string")))
-        .alias("brands"),
-        _pick(cust % 3, "Laticínios, Leites", "LATICÍNIOS", "Padaria, pão").alias("categories"),
-        _tags_of(F.col("category_mask"), CATEGORIES).alias("categories_tags"),
-        F.array_sort(F.transform(additives, _additive)).alias("additives_tags"),
-        F.when(key % 7 != 0, F.size(additives)).alias("additives_n"),
-        F.when(key % 5 == 0, no_texts)
-        .otherwise(_texts(F.concat(F.lit("ingredientes "), cust.cast("string"))))
-        .alias("ingredients_text"),
-        F.when(cust % 11 != 0, (cust % 30).cast("int")).alias("ingredients_n"),
-        created.alias("created_t"),
-        (created + cust % 1000 * 86400).alias("last_modified_t"),
-    )
-
-
-def _pick(number: Column, *values: str) -> Column:
-    """The value at a position that counts from 0."""
-    case = F
-    for position, value in enumerate(values):
-        case = case.when(number == position, value)
-    return case
+    return tagged.selectExpr(*[f"{derived} AS {name}" for name, derived in _COLUMNS.items()])
 
 
 def product_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -159,14 +140,12 @@ def product_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     Every product comes again with another grade and a stamp up to three days
     older or newer than, or equal to, the first one; a fifth come as new codes.
     """
-    first = products(spark, sf_dir)
-    digits = F.substring("code", 4, 10).cast("bigint")
-    return first.withColumns(
-        {
-            "code": F.when(digits % 5 == 0, F.concat(F.lit("791"), F.substring("code", 4, 10))).otherwise(
-                F.col("code")
-            ),
-            "nutriscore_grade": F.when(F.col("nutriscore_grade") == "A", "b").otherwise("a"),
-            "last_modified_t": F.col("last_modified_t") + (digits % 7 - 3) * 86400,
-        }
+    number = "CAST(substring(code, 4) AS BIGINT)"
+    changed = {
+        "code": f"if({number} % 5 = 0, concat('791', substring(code, 4)), code)",
+        "nutriscore_grade": "if(nutriscore_grade = 'A', 'b', 'a')",
+        "last_modified_t": f"last_modified_t + ({number} % 7 - 3) * 86400",
+    }
+    return products(spark, sf_dir).selectExpr(
+        *[f"{changed.get(name, name)} AS {name}" for name in _COLUMNS]
     )
