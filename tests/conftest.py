@@ -23,6 +23,8 @@ def spark(tmp_path_factory):
         **{
             "spark.sql.shuffle.partitions": "8",
             "spark.ui.enabled": "false",
+            "spark.sql.maxMetadataStringLength": "10000",
+            "spark.sql.debug.maxToStringFields": "1000",
             "spark.driver.memory": "4g",
             "spark.sql.warehouse.dir": str(folder / "warehouse"),
             "spark.checkpoint.dir": str(folder / "checkpoint"),
