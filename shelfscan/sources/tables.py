@@ -62,7 +62,10 @@ def open_bucketed(
     keys: Sequence[str],
     buckets: int,
 ) -> DataFrame:
-    """The bucketed table, declared again if the session's catalog does not have it."""
+    """The bucketed table, declared again if the session's catalog does not have it.
+
+    Refreshed first: another session may have replaced its files since.
+    """
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
     by = ", ".join(f"`{k}`" for k in keys)
     spark.sql(
@@ -70,4 +73,5 @@ def open_bucketed(
         f"CLUSTERED BY ({by}) SORTED BY ({by}) INTO {buckets} BUCKETS LOCATION :path",
         args={"path": path},
     )
+    spark.catalog.refreshTable(table)
     return spark.table(table)
