@@ -1,0 +1,54 @@
+"""Every registered query against its SQL oracle on the given tables."""
+
+from __future__ import annotations
+
+import math
+
+import duckdb
+import pytest
+
+import __spark_entry__ as registry
+
+TABLES = ["orders", "lineitem", "part", "events", "documents"]
+QUERIES = registry.queries()
+ORACLES = registry.oracle_sql()
+
+
+@pytest.fixture(scope="module")
+def duck(sf_dir):
+    connection = duckdb.connect()
+    for table in TABLES:
+        connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf_dir}/{table}.parquet'")
+    yield connection
+    connection.close()
+
+
+def comparable(value):
+    if isinstance(value, float):
+        return "nan" if math.isnan(value) else f"{value:.10g}"
+    return repr(value)
+
+
+def canonical(columns, rows):
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    return sorted(tuple(comparable(r[i]) for i in order) for r in rows)
+
+
+def test_every_query_has_an_oracle():
+    assert set(QUERIES) == set(ORACLES)
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_query_equals_oracle(spark, duck, sf_dir, name):
+    df = QUERIES[name](spark, sf_dir)
+    found = df.collect()
+    cursor = duck.execute(ORACLES[name])
+    columns = [c[0] for c in cursor.description]
+    expected = cursor.fetchall()
+    assert sorted(df.columns) == sorted(columns)
+    assert expected
+    assert canonical(df.columns, found) == canonical(columns, expected)
+
+
+def test_entry(spark):
+    assert registry.entry(spark).columns == ["nutriscore_grade", "total", "nova4", "pct_nova4"]
