@@ -3,27 +3,30 @@
 from __future__ import annotations
 
 import functools
-import sys
 import unicodedata
 
 from pyspark.sql import Column, functions as F
 
 
 @functools.cache
-def _base_letters() -> tuple[str, str]:
-    """Every BMP letter whose decomposition is one character plus marks, and that character.
+def accent_table() -> tuple[str, str]:
+    """Characters to replace, followed by marks to delete, and the replacements.
 
+    Replaced is every character that decomposes to one character plus marks.
     Letters without a decomposition (ß, ø, ł, œ) are not in the table and stay.
+    Taken from Python's Unicode data, so it does not vary with the Java version.
     """
-    accented, plain = [], []
-    for point in range(0x80, min(0x10000, sys.maxunicode)):
+    accented, plain, marks = [], [], []
+    for point in (*range(0x80, 0x30000), *range(0xE0000, 0xE0200)):
         letter = chr(point)
-        decomposed = unicodedata.normalize("NFD", letter)
-        kept = [c for c in decomposed if unicodedata.category(c) != "Mn"]
-        if len(kept) == 1 and kept[0] != letter and len(decomposed) > 1:
+        if unicodedata.category(letter) == "Mn":
+            marks.append(letter)
+            continue
+        kept = [c for c in unicodedata.normalize("NFD", letter) if unicodedata.category(c) != "Mn"]
+        if len(kept) == 1 and kept[0] != letter:
             accented.append(letter)
             plain.append(kept[0])
-    return "".join(accented), "".join(plain)
+    return "".join(accented + marks), "".join(plain)
 
 
 def strip_accents(text: Column) -> Column:
@@ -32,8 +35,7 @@ def strip_accents(text: Column) -> Column:
     Text whose byte and character lengths agree is ASCII and is returned as it is,
     so the per-character lookup is paid for accented text only.
     """
-    accented, plain = _base_letters()
-    stripped = F.regexp_replace(F.translate(text, accented, plain), r"\p{Mn}", "")
+    stripped = F.translate(text, *accent_table())
     return F.when(F.octet_length(text) == F.char_length(text), text).otherwise(stripped)
 
 

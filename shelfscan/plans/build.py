@@ -16,7 +16,7 @@ from shelfscan.sources.tables import materialize, read_table
 
 
 def run_load(
-    spark: SparkSession, source: DataFrame, root: str, scope: str = "brazil", buckets: int = 8
+    spark: SparkSession, source: DataFrame, root: str, scope: str = "brazil", buckets: int | None = None
 ) -> LoadState:
     """Merges the products changed since the last load of this scope."""
     name = load_name(scope)
@@ -24,13 +24,29 @@ def run_load(
     return merge_into_raw(spark, ingest(source, scope, cutoff), root, name, buckets=buckets)
 
 
+def _model_paths(root: str, scope: str) -> tuple[str, str]:
+    return f"{root}/{scope}/stg_products", f"{root}/{scope}/mart_deceptive_by_category"
+
+
+def register_views(spark: SparkSession, root: str, scope: str = "brazil") -> None:
+    """Names the tables of a scope in the session, for ``spark.table`` and SQL."""
+    stg_path, mart_path = _model_paths(root, scope)
+    views = {
+        "raw_products": read_raw(spark, root, load_name(scope)),
+        "health_claims": health_claims(spark),
+        "stg_products": read_table(spark, stg_path, schemas.STAGING),
+        "mart_deceptive_by_category": read_table(spark, mart_path, schemas.MART),
+    }
+    for name, df in views.items():
+        df.createOrReplaceTempView(name)
+
+
 def run_models(
     spark: SparkSession, root: str, scope: str = "brazil", claims: DataFrame | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """Rebuilds staging and mart of a scope from its raw table; returns both as written."""
     raw = read_raw(spark, root, load_name(scope))
-    stg_path = f"{root}/{scope}/stg_products"
-    mart_path = f"{root}/{scope}/mart_deceptive_by_category"
+    stg_path, mart_path = _model_paths(root, scope)
     materialize(
         staging_plan.build_staging(raw, claims or health_claims(spark)),
         stg_path,
@@ -43,7 +59,7 @@ def run_models(
 
 
 def run_build(
-    spark: SparkSession, source: DataFrame, root: str, scope: str = "brazil", buckets: int = 8
+    spark: SparkSession, source: DataFrame, root: str, scope: str = "brazil", buckets: int | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """Load, models and checks of a scope under one root; raises if a check fails."""
     run_load(spark, source, root, scope, buckets)

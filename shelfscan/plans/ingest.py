@@ -45,7 +45,7 @@ def merge_into_raw(
     keys: Sequence[str] = ("code",),
     order_col: str = "last_modified_t",
     schema: T.StructType = schemas.RAW,
-    buckets: int = 8,
+    buckets: int | None = None,
 ) -> LoadState:
     """Upserts a delta into the raw table of a load and advances its cursor.
 
@@ -54,19 +54,23 @@ def merge_into_raw(
     leaves the current slot and the cursor untouched, and running again gives
     the same rows. Without news nothing is written.
 
-    The slots are bucketed by key, so a merge shuffles the delta only. Choose
-    ``buckets`` for about 1 GB each; it is fixed by the first load.
+    The slots are bucketed by key, so a merge shuffles the delta only. The first
+    load takes as many ``buckets`` as the session has shuffle partitions unless
+    told otherwise; aim for about 1 GB each. Passing another number later
+    rewrites the table in that many.
     """
     state = read_state(spark, f"{root}/state", name)
     if delta.isEmpty():
         return state
     slot = "b" if state.slot == "a" else "a"
+    shuffle_partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = buckets or state.buckets or shuffle_partitions
+    base = None
     if state.version:
-        buckets = state.buckets
-        base = _open_slot(spark, root, name, state.slot, schema, keys, buckets)
-        merged = upsert(base, delta, keys, order_col)
-    else:
-        merged = upsert(None, delta, keys, order_col).repartition(buckets, *keys)
+        base = _open_slot(spark, root, name, state.slot, schema, keys, state.buckets)
+    merged = upsert(base, delta, keys, order_col)
+    if buckets != state.buckets:
+        merged = merged.repartition(buckets, *keys)
     path = f"{root}/{name}/slot={slot}"
     write_bucketed(merged, f"{name}_{slot}", path, keys, buckets)
     newest = spark.table(f"{name}_{slot}").agg(F.max(order_col)).first()[0]

@@ -27,7 +27,7 @@ def stream_into_raw(
     source_dir: str,
     root: str,
     scope: str = "brazil",
-    buckets: int = 8,
+    buckets: int | None = None,
     checkpoint: str | None = None,
     max_files_per_batch: int = 1000,
 ) -> StreamingQuery:

@@ -1,11 +1,13 @@
 from __future__ import annotations
 
+import datetime as dt
 import re
 
 from pyspark.sql import functions as F
 
 from shelfscan import schemas
-from shelfscan.plans.build import run_build, run_load
+from shelfscan.functions.sql import register_functions
+from shelfscan.plans.build import register_views, run_build, run_load
 from shelfscan.plans.ingest import ingest, load_name, merge_into_raw, read_raw
 from shelfscan.sources import read_products, read_state
 
@@ -133,6 +135,17 @@ def test_declared_again_in_a_new_session(spark, source_rows, tmp_path):
     assert content(read_raw(spark, root, name)) == [("7891", 11, "b"), ("7892", 12, "c")]
 
 
+def test_buckets_can_be_changed_later(spark, source_rows, tmp_path):
+    root, name = str(tmp_path), load_name("growing")
+
+    def load(code, stamp, buckets=None):
+        rows = ingest(export(source_rows, (code, stamp, "x")))
+        return merge_into_raw(spark, rows, root, name, buckets=buckets).buckets
+
+    assert [load("7891", 1), load("7892", 2, 3), load("7893", 3)] == [8, 3, 3]
+    assert [r[0] for r in content(read_raw(spark, root, name))] == ["7891", "7892", "7893"]
+
+
 def test_run_build_end_to_end(spark, source_rows, tmp_path):
     claims = [
         {
@@ -154,3 +167,21 @@ def test_run_build_end_to_end(spark, source_rows, tmp_path):
     assert stg.count() == 5
     assert stg.filter("is_deceptive").count() == 5
     assert mart.count() == 0
+
+    register_views(spark, root)
+    register_functions(spark)
+    assert spark.table("raw_products").count() == 5
+    row = spark.sql(
+        """
+        SELECT count_if(is_deceptive) AS deceptive,
+               safe_divide(count_if(is_deceptive), count(*)) AS share,
+               safe_divide(1, 0) AS nothing,
+               max(lower(strip_accents('Açúcar'))) AS folded,
+               max(size(parse_json_array('["a", "b"]'))) AS parsed,
+               max(date_of(epoch_to_timestamp(86399))) AS day
+        FROM stg_products
+        WHERE size(match_health_claims(labels_tags)) > 0
+        """
+    ).first()
+    day = dt.date(1970, 1, 1)
+    assert tuple(row) == (5, 1.0, None, "acucar", 2, day)
