@@ -24,13 +24,14 @@ def run_load(
     return merge_into_raw(spark, ingest(source, scope, cutoff), root, name, buckets=buckets)
 
 
-def _model_paths(root: str, scope: str) -> tuple[str, str]:
+def model_paths(root: str, scope: str) -> tuple[str, str]:
+    """Where staging and mart of a scope are written."""
     return f"{root}/{scope}/stg_products", f"{root}/{scope}/mart_deceptive_by_category"
 
 
 def register_views(spark: SparkSession, root: str, scope: str = "brazil") -> None:
     """Names the tables of a scope in the session, for ``spark.table`` and SQL."""
-    stg_path, mart_path = _model_paths(root, scope)
+    stg_path, mart_path = model_paths(root, scope)
     views = {
         "raw_products": read_raw(spark, root, load_name(scope)),
         "health_claims": health_claims(spark),
@@ -46,7 +47,7 @@ def run_models(
 ) -> tuple[DataFrame, DataFrame]:
     """Rebuilds staging and mart of a scope from its raw table; returns both as written."""
     raw = read_raw(spark, root, load_name(scope))
-    stg_path, mart_path = _model_paths(root, scope)
+    stg_path, mart_path = model_paths(root, scope)
     materialize(
         staging_plan.build_staging(raw, claims or health_claims(spark)),
         stg_path,
