@@ -44,6 +44,15 @@ def consume(df) -> None:
     df.write.format("noop").mode("overwrite").save()
 
 
+def scale_factor(folder: str) -> float | str:
+    """The number in a folder name like ``sf0.1``, or the name."""
+    name = os.path.basename(folder.rstrip("/"))
+    try:
+        return float(name.removeprefix("sf"))
+    except ValueError:
+        return name
+
+
 def main() -> None:
     work = tempfile.mkdtemp(prefix="run-", dir=os.environ.get("BENCH_WORK_DIR", "/tmp"))
     spark = spark_session(
@@ -118,7 +127,7 @@ def main() -> None:
         "value": round(sum(taken.values()), 3),
         "unit": "sec",
         "queries": taken,
-        "sf": os.path.basename(SF_DIR.rstrip("/")).removeprefix("sf"),
+        "sf": scale_factor(SF_DIR),
     }
     print(json.dumps(result))
     spark.stop()

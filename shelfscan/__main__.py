@@ -7,6 +7,7 @@
 from __future__ import annotations
 
 import argparse
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +19,7 @@ from shelfscan.sources import (
     additive_families,
     additive_refs,
     category_groups,
+    read_modified_after,
     read_products,
     read_table,
 )
@@ -55,6 +57,11 @@ def main(arguments: Sequence[str] | None = None) -> None:
     build = commands.add_parser("build", help="load an export, rebuild and check the models")
     build.add_argument("source", help="Parquet export")
     build.add_argument("--buckets", type=int, help="buckets of the raw table")
+    build.add_argument(
+        "--modified-after",
+        type=dt.datetime.fromisoformat,
+        help="take only files changed after this moment (UTC)",
+    )
     shown = commands.add_parser("report", help="show a report")
     shown.add_argument("name", choices=sorted(REPORTS))
     for command in (build, shown):
@@ -64,7 +71,10 @@ def main(arguments: Sequence[str] | None = None) -> None:
 
     spark = spark_session()
     if chosen.command == "build":
-        source = read_products(spark, chosen.source)
+        if chosen.modified_after:
+            source = read_modified_after(spark, chosen.source, chosen.modified_after)
+        else:
+            source = read_products(spark, chosen.source)
         run_build(spark, source, chosen.root, chosen.scope, chosen.buckets)
     else:
         report(spark, chosen.name, chosen.root, chosen.scope).show(100, truncate=False)

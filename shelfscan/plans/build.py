@@ -16,12 +16,18 @@ from shelfscan.sources.tables import materialize, read_table
 
 
 def run_load(
-    spark: SparkSession, source: DataFrame, root: str, scope: str = "brazil", buckets: int | None = None
+    spark: SparkSession,
+    source: DataFrame,
+    root: str,
+    scope: str = "brazil",
+    buckets: int | None = None,
+    inclusive: bool = False,
 ) -> LoadState:
     """Merges the products changed since the last load of this scope."""
     name = load_name(scope)
     cutoff = read_state(spark, f"{root}/state", name).cursor
-    return merge_into_raw(spark, ingest(source, scope, cutoff), root, name, buckets=buckets)
+    delta = ingest(source, scope, cutoff, inclusive)
+    return merge_into_raw(spark, delta, root, name, buckets=buckets)
 
 
 def model_paths(root: str, scope: str) -> tuple[str, str]:
@@ -47,9 +53,10 @@ def run_models(
 ) -> tuple[DataFrame, DataFrame]:
     """Rebuilds staging and mart of a scope from its raw table; returns both as written."""
     raw = read_raw(spark, root, load_name(scope))
+    claims = health_claims(spark) if claims is None else claims
     stg_path, mart_path = model_paths(root, scope)
     materialize(
-        staging_plan.build_staging(raw, claims or health_claims(spark)),
+        staging_plan.build_staging(raw, claims),
         stg_path,
         partition_by=staging_plan.PARTITION_BY,
         cluster_by=staging_plan.CLUSTER_BY,

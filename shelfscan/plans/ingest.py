@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -71,9 +72,9 @@ def merge_into_raw(
     merged = upsert(base, delta, keys, order_col)
     if buckets != state.buckets:
         merged = merged.repartition(buckets, *keys)
-    path = f"{root}/{name}/slot={slot}"
-    write_bucketed(merged, f"{name}_{slot}", path, keys, buckets)
-    newest = spark.table(f"{name}_{slot}").agg(F.max(order_col)).first()[0]
+    table, path = slot_table(root, name, slot, buckets)
+    write_bucketed(merged, table, path, keys, buckets)
+    newest = spark.table(table).agg(F.max(order_col)).first()[0]
     state = LoadState(name, state.version + 1, max(state.cursor, newest or 0), slot, buckets)
     append_state(spark, f"{root}/state", state)
     return state
@@ -93,5 +94,17 @@ def read_raw(
     return _open_slot(spark, root, name, state.slot, schema, keys, state.buckets)
 
 
+def slot_table(root: str, name: str, slot: str, buckets: int) -> tuple[str, str]:
+    """Name and path of a slot.
+
+    The name tells roots and bucket counts apart, so a definition another session
+    left in the catalog is never taken for this one.
+    """
+    path = f"{root}/{name}/slot={slot}"
+    digest = hashlib.sha256(path.encode()).hexdigest()[:12]
+    return f"{name}_{slot}_{buckets}_{digest}", path
+
+
 def _open_slot(spark, root, name, slot, schema, keys, buckets) -> DataFrame:
-    return open_bucketed(spark, f"{name}_{slot}", f"{root}/{name}/slot={slot}", schema, keys, buckets)
+    table, path = slot_table(root, name, slot, buckets)
+    return open_bucketed(spark, table, path, schema, keys, buckets)

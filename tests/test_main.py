@@ -17,6 +17,7 @@ def test_build_and_every_report(spark, source_rows, tmp_path, capsys):
         }
     ).write.parquet(export)
     main(["build", export, root])
+    main(["build", export, root, "--modified-after", "2999-01-01"])
     main(["report", "tile4_top_brands", root])
     assert "Açaí" in capsys.readouterr().out
     for name in sorted(REPORTS):
