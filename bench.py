@@ -75,10 +75,10 @@ def main() -> None:
     groups, families, refs = (f(spark) for f in (category_groups, additive_families, additive_refs))
     source = read_products(spark, export)
 
-    def build() -> None:
+    def build(path: str) -> None:
         materialize(
             build_staging(ingest(source), claims),
-            staged,
+            path,
             partition_by=PARTITION_BY,
             cluster_by=CLUSTER_BY,
         )
@@ -87,13 +87,16 @@ def main() -> None:
         delta = ingest(read_products(spark, updates))
         consume(upsert(ingest(source), delta, ["code"], "last_modified_t"))
 
+    build(staged)
+    stg = read_table(spark, staged, schemas.STAGING)
+
     def on_staging(report, *dimensions):
-        return lambda: consume(report(read_table(spark, staged, schemas.STAGING), *dimensions))
+        return lambda: consume(report(stg, *dimensions))
 
     jobs = {
         "ingest": lambda: consume(ingest(source)),
         "upsert_raw": merge,
-        "stg_products": build,
+        "stg_products": lambda: build(f"{work}/rebuilt"),
         "mart_deceptive_by_category": on_staging(build_mart),
         "dq_report": on_staging(lambda stg: run_checks(stg, build_mart(stg))),
         "kpis": on_staging(reports.kpis),

@@ -88,19 +88,14 @@ def normalize_grade(grade: Column, allowed: Sequence[str]) -> Column:
 
 
 def ordinal_map(value: Column, ranks: Mapping[str, int]) -> Column:
-    """Simple CASE from value to number, NULL for all others."""
-    case = F
-    for known, rank in ranks.items():
-        case = case.when(value == known, rank)
-    return case
+    """Number of a known value, NULL for all others."""
+    return F.coalesce(*[F.when(value == known, rank) for known, rank in ranks.items()])
 
 
 def band(value: Column, thresholds: Iterable[tuple[float, str]], default: str) -> Column:
     """Name of the first threshold the value reaches, else the default."""
-    case = F
-    for limit, name in thresholds:
-        case = case.when(value >= limit, name)
-    return case.otherwise(default)
+    reached = [F.when(value >= limit, name) for limit, name in thresholds]
+    return F.coalesce(*reached, F.lit(default))
 
 
 def label(codes: Column, category: Column) -> Column:
