@@ -113,3 +113,16 @@ def test_distinct_count_is_two_stage(spark, stg, plan_of):
 def test_unused_tags_are_never_derived(spark, sf_dir, plan_of):
     plan = plan_of(QUERIES["nova_distribution"](spark, sf_dir))
     assert "lineitem" not in plan
+
+
+def test_the_total_reuses_the_counted_shuffle(stg, plan_of):
+    assert "ReusedExchange" in plan_of(reports.nova_distribution(stg), run=True)
+
+
+def test_both_sides_of_a_merge_share_the_derivation(spark, sf_dir, plan_of):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(QUERIES["upsert_raw"](spark, sf_dir), run=True)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "ReusedExchange" in plan
