@@ -40,6 +40,14 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
 
 
+def tokens_of(ranks: dict[bytes, int]) -> list[bytes]:
+    """Tokens by rank; empty where a rank is free."""
+    tokens = [b""] * (max(ranks.values(), default=-1) + 1)
+    for token, rank in ranks.items():
+        tokens[rank] = token
+    return tokens
+
+
 def merge_plainly(piece: bytes, ranks: dict[bytes, int], below: int = 1 << 62) -> list[bytes]:
     """The definition: merge the leftmost pair of lowest rank until none (below a rank) is left."""
     parts = [piece[i : i + 1] for i in range(len(piece))]
@@ -57,7 +65,7 @@ class Transducer:
     """Reads the bytes of one piece and emits token ids."""
 
     def __init__(self, ranks: dict[bytes, int]):
-        self.ranks = ranks
+        self.ranks, self.tokens = ranks, tokens_of(ranks)
         self.longest = max(map(len, ranks), default=1)
         self.beginnings = {token[:n] for token in ranks for n in range(1, len(token))}
         self.together: dict[tuple[bytes, bytes], bool] = {}
@@ -66,11 +74,34 @@ class Transducer:
 
     def _forget(self) -> None:
         """Only the state before the first byte is left, as number 0."""
-        self.states: list[tuple] = [(b"", (), b"")]
+        self.states = [self._key(b"", (), 0)]
         self.number = {self.states[0]: 0}
-        self.moves: dict[int, tuple[tuple[int, ...], int]] = {}
+        self.emissions: list[tuple[int, ...]] = [()]
+        self.emission = {(): 0}
+        #: state and byte to next state and emission
+        self.moves: dict[int, int] = {}
         self.endings: dict[int, list[int]] = {}
 
+    def _forget_but(self, state: int) -> int:
+        """The new number of a state that is gone on from."""
+        key = self.states[state]
+        self._forget()
+        if key not in self.number:
+            self.number[key] = len(self.states)
+            self.states.append(key)
+        return self.number[key]
+
+    def _key(self, tail: bytes, sizes: Iterable[int], before: int) -> bytes:
+        """A state: the bytes read since the emitted tokens; for every place in them the size of the
+        last token of the encoding up to there (0: never needed again); the token before them
+        (its rank and 1; 0: none; the number of ranks and 1: never needed again)."""
+        return before.to_bytes(4) + tail + array("H", sizes).tobytes()
+
+    def _state(self, number: int) -> tuple[bytes, list[int], int]:
+        key = self.states[number]
+        n = (len(key) - 4) // 3
+        return key[4 : 4 + n], list(memoryview(key[4 + n :]).cast("H")), int.from_bytes(key[:4])
+
     def _fits(self, before: bytes, token: bytes) -> bool:
         if not before:
             # a token that its own merges don't reach never stands in a merged piece
@@ -113,82 +144,79 @@ class Transducer:
             else:
                 return True
 
-    def _step(self, state: tuple, byte: int) -> tuple[tuple[bytes, ...], tuple]:
-        """(emitted tokens, next state).
-
-        A state is (tail, last): the bytes read since the emitted tokens, and for
-        every place in them the last token of the encoding up to there.
-        """
-        tail, last, before = state
+    def _determinise(self, state: int, byte: int) -> int:
+        """Makes the step for a byte, and the state that it leads to if it is new."""
+        tail, sizes, before = self._state(state)
         tail += bytes([byte])
         n = len(tail)
         for size in range(min(n, self.longest), 0, -1):
             token = tail[n - size :]
             if token not in self.ranks:
                 continue
-            left = last[n - size - 1] if n > size else before
-            if left is not None and self._fits(left, token):
+            if n > size:
+                had = sizes[n - size - 1]
+                if had and self._fits(tail[n - size - had : n - size], token):
+                    break
+            elif before <= len(self.tokens) and self._fits(self.tokens[before - 1] if before else b"", token):
                 break
         else:
-            token = None
-        last = (*last, token)
+            size = 0
+        sizes.append(size)
         # a later token can start only where the bytes since then begin some token
         shared, used = None, set()
         for place in range(max(0, n + 1 - self.longest), n + 1):
-            if place < n and tail[place:] not in self.beginnings or place and last[place - 1] is None:
+            if place < n and tail[place:] not in self.beginnings or place and not sizes[place - 1]:
                 continue
             cuts, at = [], place
             while at > 0:
                 cuts.append(at)
-                at -= len(last[at - 1])
+                at -= sizes[at - 1]
             used.update(cuts)
             cuts.reverse()
-            if shared is None:
-                shared = cuts
-            else:
-                shared = [a for a, b in zip(shared, cuts, strict=False) if a == b]
-        out = tuple(last[at - 1] for at in shared or ())
-        last = tuple(t if i + 1 in used else None for i, t in enumerate(last))
+            shared = cuts if shared is None else [a for a, b in zip(shared, cuts, strict=False) if a == b]
+        shared = shared or []
+        out = tuple(self.ranks[tail[at - sizes[at - 1] : at]] for at in shared)
+        sizes = [size if i + 1 in used else 0 for i, size in enumerate(sizes)]
         if shared:
-            tail, last, before = tail[shared[-1] :], last[shared[-1] :], out[-1]
+            tail, sizes, before = tail[shared[-1] :], sizes[shared[-1] :], out[-1] + 1
         if tail and tail not in self.beginnings:
-            before = None  # nothing can start there any more
-        return out, (tail, last, before)
+            before = len(self.tokens) + 1  # nothing can start there any more
+        key = self._key(tail, sizes, before)
+        target = self.number.setdefault(key, len(self.states))
+        if target == len(self.states):
+            self.states.append(key)
+        emission = self.emission.setdefault(out, len(self.emissions))
+        if emission == len(self.emissions):
+            self.emissions.append(out)
+        move = self.moves[state << 8 | byte] = target << 24 | emission
+        return move
 
     def encode(self, piece: bytes) -> list[int]:
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
-        if len(self.states) >= STATES:
-            self._forget()
-        moves, state, out = self.moves, 0, []
+        moves, emissions, state, out = self.moves, self.emissions, 0, []
         for byte in piece:
             move = moves.get(state << 8 | byte)
             if move is None:
+                if len(self.states) >= STATES or len(self.emissions) >= 1 << 23:
+                    state = self._forget_but(state)
+                    moves, emissions = self.moves, self.emissions
                 move = self._determinise(state, byte)
-            emitted, state = move
-            if emitted:
-                out += emitted
+            state = move >> 24
+            if move & 0xFFFFFF:
+                out += emissions[move & 0xFFFFFF]
         ending = self.endings.get(state)
         if ending is None:
-            tail, last, _ = self.states[state]
+            tail, sizes, _ = self._state(state)
             ending, at = [], len(tail)
             while at > 0:
-                ending.append(self.ranks[last[at - 1]])
-                at -= len(last[at - 1])
+                ending.append(self.ranks[tail[at - sizes[at - 1] : at]])
+                at -= sizes[at - 1]
             ending.reverse()
             self.endings[state] = ending
         return out + ending
 
-    def _determinise(self, state: int, byte: int) -> tuple[tuple[int, ...], int]:
-        """Makes the step for a byte, and the state that it leads to if it is new."""
-        emitted, following = self._step(self.states[state], byte)
-        target = self.number.setdefault(following, len(self.states))
-        if target == len(self.states):
-            self.states.append(following)
-        move = self.moves[state << 8 | byte] = (tuple(self.ranks[t] for t in emitted), target)
-        return move
-
 
 #: How many bytes follow a first byte of UTF-8 (-1: it can't come first).
 _FOLLOW = [0] * 128 + [-1] * 66 + [1] * 30 + [2] * 16 + [3] * 5 + [-1] * 11
@@ -245,9 +273,6 @@ class Encoder:
 
         self.find, self.transducer = regex.compile(pattern).findall, Transducer(ranks)
         self.memo = Memo(self._ids)
-        self.tokens = [b""] * (max(ranks.values(), default=-1) + 1)
-        for token, rank in ranks.items():
-            self.tokens[rank] = token
 
     def _ids(self, parts: list[str]) -> list[bytes]:
         encode, find = self.transducer.encode, self.find
@@ -281,13 +306,13 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, text: str = "text
     return docs.select(*kept).mapInPandas(run, schema)
 
 
-def decode_documents(encoded: DataFrame, path: str, pattern: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
+def decode_documents(encoded: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
     """``encoded`` with the text of its ids."""
     kept = [c for c in encoded.columns if c != text]
     schema = encoded.select(*kept).schema.add(text, "string")
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tokens = encoder(path, pattern).tokens
+        tokens = tokens_of(load_ranks(path))
         for part in parts:
             texts = ["".join(decode_stream(np.frombuffer(x or b"", "<u4").tolist(), tokens)) for x in part[ids]]
             yield part[kept].assign(**{text: texts})
@@ -302,7 +327,7 @@ def op8_bpe(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     # the ids alone go on to the decoder, so that the texts are not carried along
     encoded = encode_documents(docs, path, pattern).drop("text")
-    return decode_documents(encoded, path, pattern).select(
+    return decode_documents(encoded, path).select(
         "doc_id",
         (F.length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),

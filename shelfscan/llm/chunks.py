@@ -13,7 +13,7 @@ from collections.abc import Callable
 _UNSAFE = re.compile(r"\s ")
 
 #: Chunks kept by a worker, and the longest of them.
-MEMO_ENTRIES, MEMO_CHARS = 300_000, 64
+MEMO_ENTRIES, MEMO_CHARS = 200_000, 64
 
 
 def chunks(text: str) -> list[str]:
