@@ -30,6 +30,8 @@ import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
+from shelfscan.llm.tables import checkpointed
+
 
 
 class Capacities(NamedTuple):
@@ -232,14 +234,6 @@ def pack_documents(docs: DataFrame, path: str, caps: Capacities = Capacities(),
     return pack(checkpointed(pieces), caps)
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """``df``, computed and written to the shared checkpoint folder."""
-    context = df.sparkSession.sparkContext
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", "checkpoints"))
-    return df.checkpoint()
-
-
 def op4_best_fit_packing(spark, sf_dir: str) -> DataFrame:
     import public_tokenizers
 

@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from shelfscan.llm import topk
 from shelfscan.llm.bpe import op8_bpe
+from shelfscan.llm.jaccard_join import op6_jaccard_join
 from shelfscan.llm.langid import op5_language_id
 from shelfscan.llm.cascade import op9_quality_rules
 from shelfscan.llm.packing import op4_best_fit_packing
 from shelfscan.llm.quality_gam import op10_quality_gam
+from shelfscan.llm.substring_dedup import op2_substring_dedup
 from shelfscan.llm.token_counts import op3_token_counts
 from shelfscan.llm.topk import op7_top_k
 from shelfscan.llm.wrapper import op1_html_extraction
@@ -18,9 +20,11 @@ from shelfscan.llm.wrapper import op1_html_extraction
 def queries() -> dict[str, Callable]:
     return {
         "op1_html_extraction": op1_html_extraction,
+        "op2_substring_dedup": op2_substring_dedup,
         "op3_token_counts": op3_token_counts,
         "op4_best_fit_packing": op4_best_fit_packing,
         "op5_language_id": op5_language_id,
+        "op6_jaccard_join": op6_jaccard_join,
         "op7_top_k": op7_top_k,
         "op8_bpe": op8_bpe,
         "op9_quality_rules": op9_quality_rules,

@@ -32,7 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from shelfscan.llm.packing import checkpointed
+from shelfscan.llm.tables import checkpointed
 from shelfscan.llm.words import Words, blocks, runs, words_of
 
 #: Length of the first runs.
