@@ -56,36 +56,41 @@ def measured(docs: DataFrame, text: str = "text", window: int = 3) -> DataFrame:
         "lines": lines,
         "n_symbols": (F.length(body) - F.length(F.regexp_replace(body, _SYMBOLS, ""))).cast("long"),
     })
-    words = F.col("words")
-    text_of = lambda w, i: F.concat_ws(" ", w, *[F.get(words, i + k) for k in range(1, window)])
-    starts = F.slice(words, 1, F.greatest(F.size("words") - (window - 1), F.lit(0)))
-    placed = F.array_sort(F.transform(starts, lambda w, i: F.struct(text_of(w, i).alias("w"), i.alias("i"))))
-    out = out.withColumns({
+    return out.withColumns({
         "n_words": F.size("words").cast("long"),
         "word_chars": F.length(F.array_join("words", "")).cast("long"),
         "n_lines": F.size("lines").cast("long"),
         "n_dup_lines": (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long"),
-        "sorted_windows": placed,
+        "n_repeat_words": _repeated(F.col("words"), window).cast("long"),
     }).drop("lines")
-    near = F.col("sorted_windows")
-    again = F.transform(
-        near,
-        lambda e, i: F.when(
-            (e["w"] == F.get(near, i - 1)["w"]) | (e["w"] == F.get(near, i + 1)["w"]), e["i"]
-        ),
-    )
-    repeats = F.array_sort(F.filter(again, lambda i: i.isNotNull()))
+
+
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, wherever the optimizer moves the expression."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _repeated(words: Column, window: int) -> Column:
+    """Words in windows that the array holds twice or more."""
+
+    def windows(w: Column) -> Column:
+        starts = F.slice(w, 1, F.greatest(F.size(w) - (window - 1), F.lit(0)))
+        text_of = lambda x, i: F.concat_ws(" ", x, *[F.get(w, i + k) for k in range(1, window)])
+        return F.array_sort(F.transform(starts, lambda x, i: F.struct(text_of(x, i).alias("w"), i.alias("i"))))
+
+    def again(near: Column) -> Column:
+        same = lambda e, i: (e["w"] == F.get(near, i - 1)["w"]) | (e["w"] == F.get(near, i + 1)["w"])
+        return F.transform(F.filter(near, same), lambda e: e["i"])
+
     # words covered by windows that start at the repeated places
-    start = F.struct(F.lit(0).alias("end"), F.lit(0).alias("n"))
-    covered = F.aggregate(
-        repeats,
-        start,
+    return F.aggregate(
+        F.array_sort(_let(words, lambda w: _let(windows(w), again))),
+        F.struct(F.lit(0).alias("end"), F.lit(0).alias("n")),
         lambda a, i: F.struct(
             (i + window).alias("end"), (a["n"] + i + window - F.greatest(i, a["end"])).alias("n")
         ),
         lambda a: a["n"],
     )
-    return out.withColumn("n_repeat_words", covered.cast("long")).drop("sorted_windows")
 
 
 def base_failed(least_words: int = 50, repeated_percent: int = 50) -> Column:
@@ -102,7 +107,7 @@ def standard_rules() -> list[Rule]:
 
     return [
         Rule("symbols", more(F.col("n_symbols"), 10)),
-        Rule("repeated_lines", 100 * F.col("n_dup_lines") > 30 * F.col("n_lines")),
+        Rule("repeated_lines", 100 * F.col("n_dup_lines") > 50 * F.col("n_lines")),
         Rule("word_length", (F.col("word_chars") < 2 * n) | (F.col("word_chars") > 15 * n)),
         Rule("letterless_words", more(F.size(F.filter(words, lambda w: ~w.rlike(r"\p{L}"))), 30)),
         Rule("shouting", more(F.size(F.filter(words, lambda w: w.endswith("!"))), 30)),
