@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from shelfscan.llm import topk
 from shelfscan.llm.bpe import op8_bpe
 from shelfscan.llm.jaccard_join import op6_jaccard_join
@@ -29,6 +30,7 @@ def queries() -> dict[str, Callable]:
         "op8_bpe": op8_bpe,
         "op9_quality_rules": op9_quality_rules,
         "op10_quality_gam": op10_quality_gam,
+        "pipeline": corpus_pipeline.run,
     }
 
 
