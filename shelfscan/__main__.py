@@ -12,16 +12,15 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfscan import schemas, spark_session
+from shelfscan import spark_session
 from shelfscan.plans import reports
-from shelfscan.plans.build import model_paths, run_build
+from shelfscan.plans.build import read_model, run_build
 from shelfscan.sources import (
     additive_families,
     additive_refs,
     category_groups,
     read_modified_after,
     read_products,
-    read_table,
 )
 
 #: Report name to its function and the dimensions it joins.
@@ -44,10 +43,10 @@ REPORTS = {
 }
 
 
-def report(spark: SparkSession, name: str, root: str, scope: str) -> DataFrame:
+def report(spark: SparkSession, name: str, root: str, scope: str, backend: str = "spark") -> DataFrame:
     """A report over the staging table written under a root."""
     make, *dimensions = REPORTS[name]
-    stg = read_table(spark, model_paths(root, scope)[0], schemas.STAGING)
+    stg = read_model(spark, root, "stg_products", scope, backend)
     return make(stg, *(dimension(spark) for dimension in dimensions))
 
 
@@ -57,6 +56,7 @@ def main(arguments: Sequence[str] | None = None) -> None:
     build = commands.add_parser("build", help="load an export, rebuild and check the models")
     build.add_argument("source", help="Parquet export")
     build.add_argument("--buckets", type=int, help="buckets of the raw table")
+    build.add_argument("--seed", help="CSV of claim tags and families; the packaged one if left out")
     build.add_argument(
         "--modified-after",
         type=dt.datetime.fromisoformat,
@@ -64,6 +64,7 @@ def main(arguments: Sequence[str] | None = None) -> None:
     )
     shown = commands.add_parser("report", help="show a report")
     shown.add_argument("name", choices=sorted(REPORTS))
+    shown.add_argument("--backend", choices=["spark", "stream"], default="spark", help="load the models are from")
     for command in (build, shown):
         command.add_argument("root", help="folder of the tables")
         command.add_argument("--scope", default="brazil")
@@ -75,9 +76,10 @@ def main(arguments: Sequence[str] | None = None) -> None:
             source = read_modified_after(spark, chosen.source, chosen.modified_after)
         else:
             source = read_products(spark, chosen.source)
-        run_build(spark, source, chosen.root, chosen.scope, chosen.buckets)
+        run_build(spark, source, chosen.root, chosen.scope, chosen.buckets, chosen.seed)
     else:
-        report(spark, chosen.name, chosen.root, chosen.scope).show(100, truncate=False)
+        rows = report(spark, chosen.name, chosen.root, chosen.scope, chosen.backend).persist()
+        rows.show(max(rows.count(), 1), truncate=False)
 
 
 if __name__ == "__main__":

@@ -13,10 +13,8 @@ from shelfscan.functions.columns import (
     epoch_to_timestamp,
     first_text,
     intersect,
-    joined_set,
     json_array,
     label,
-    mode_of,
     nonempty,
     normalize_grade,
     or_empty,
@@ -45,10 +43,8 @@ __all__ = [
     "epoch_to_timestamp",
     "first_text",
     "intersect",
-    "joined_set",
     "json_array",
     "label",
-    "mode_of",
     "nonempty",
     "normalize_grade",
     "or_empty",

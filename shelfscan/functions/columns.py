@@ -60,25 +60,11 @@ def distinct_count(key: Column) -> Column:
 # Collecting aggregates: for groups with few distinct values.
 
 
-def mode_of(value: Column) -> Column:
-    """Most frequent value of a group, the smallest one on ties.
-
-    Keeps one counter per distinct value of the group in memory;
-    ``operators.aggregates.group_mode`` does the same for any number of values.
-    """
-    return F.mode(value, True)
-
-
 def sorted_set(value: Column) -> Column:
     """Distinct non-NULL values as a sorted array."""
     return F.array_sort(F.collect_set(value))
 
 
-def joined_set(value: Column, separator: str) -> Column:
-    """Distinct non-NULL values in order as one string."""
-    return F.array_join(sorted_set(value), separator)
-
-
 # Value rules.
 
 

@@ -20,10 +20,9 @@ from shelfscan.operators.filters import (
 from shelfscan.operators.merge import latest_per_key, upsert
 from shelfscan.operators.tags import (
     arrays_to_json,
-    dictionary_array,
     explode_tags,
     match_dictionary,
-    match_large,
+    match_joined,
     tag_join,
 )
 
@@ -34,13 +33,12 @@ __all__ = [
     "check_table",
     "cross_filter",
     "daily_counts",
-    "dictionary_array",
     "explode_tags",
     "group_mode",
     "in_scope",
     "latest_per_key",
     "match_dictionary",
-    "match_large",
+    "match_joined",
     "min_support",
     "require",
     "scope_filter",

@@ -37,29 +37,21 @@ def check_table(
 ) -> DataFrame:
     """All checks of a table: failing rows, or repeated values for ``unique``.
 
-    One pass covers every ``not_null`` and ``accepted_values`` check and the first
-    ``unique`` one: failures are summed per key before and after the single
-    shuffle that uniqueness needs. NULL passes ``unique`` and ``accepted_values``.
+    Failing rows are counted per task in one pass; each ``unique`` check is a
+    second one that reads and shuffles its key alone, counted before it is sent.
+    NULL passes ``unique`` and ``accepted_values``.
     """
     failing = [(c, "not_null", F.col(c).isNull()) for c in not_null]
     failing += [
         (c, "accepted_values", F.col(c).isNotNull() & ~F.col(c).isin(*values))
         for c, values in (accepted or {}).items()
     ]
-    named = [(column, test, f"_f{i}") for i, (column, test, _) in enumerate(failing)]
-    sums = [F.count_if(bad).alias(f"_f{i}") for i, (_, _, bad) in enumerate(failing)]
-
-    if not unique:
-        return _report(df.agg(*sums), model, named)
-
-    first, *others = unique
-    per_key = df.groupBy(F.col(first).alias("_key")).agg(F.count("*").alias("_rows"), *sums)
-    totals = per_key.agg(
-        _repeated(F.col("_key")).alias("_repeated"),
-        *[F.sum(name).alias(name) for _, _, name in named],
-    )
-    reports = [_report(totals, model, [*named, (first, "unique", "_repeated")])]
-    for column in others:
+    reports = []
+    if failing:
+        sums = [F.count_if(bad).alias(f"_f{i}") for i, (_, _, bad) in enumerate(failing)]
+        named = [(column, test, f"_f{i}") for i, (column, test, _) in enumerate(failing)]
+        reports.append(_report(df.agg(*sums), model, named))
+    for column in unique:
         counted = df.groupBy(column).agg(F.count("*").alias("_rows"))
         repeated = counted.agg(_repeated(F.col(column)).alias("_repeated"))
         reports.append(_report(repeated, model, [(column, "unique", "_repeated")]))

@@ -4,35 +4,30 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
-
-
-def _versions(df: DataFrame, keys: Sequence[str], order_col: str) -> Column:
-    """All non-key columns as one comparable struct, the ordering column first.
-
-    Comparing the whole row makes equal stamps resolve the same way every time.
-    """
-    rest = [c for c in df.columns if c not in keys and c != order_col]
-    return F.struct(order_col, *rest)
+from pyspark.sql import DataFrame, Window, functions as F
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order_col: str) -> DataFrame:
     """One row per key, the one with the largest ``order_col``.
 
-    A maximum is combined before the shuffle, so a key holding a third of all
-    rows arrives as one row per task.
+    Equal stamps are settled by comparing the other columns in order, the same
+    way every time. Each task keeps one row per key before the shuffle (the
+    window's group limit), so a key holding a third of all rows is no burden.
     """
-    newest = df.groupBy(*keys).agg(F.max(_versions(df, keys, order_col)).alias("_row"))
-    return newest.select(*keys, "_row.*").select(*df.columns)
+    rest = [c for c in df.columns if c not in keys and c != order_col]
+    newest_first = Window.partitionBy(*keys).orderBy(*[F.desc_nulls_last(c) for c in (order_col, *rest)])
+    ranked = df.withColumn("_rank", F.row_number().over(newest_first))
+    return ranked.filter("_rank = 1").drop("_rank")
 
 
 def upsert(base: DataFrame | None, delta: DataFrame, keys: Sequence[str], order_col: str) -> DataFrame:
     """The base with the delta merged in: new keys added, known keys kept at their newest row.
 
-    The base must hold one row per key (as a result of this function does); the
-    delta may hold several. Applying the same delta again changes nothing, and
-    nothing is deleted. A NULL key in the delta raises. If the base is bucketed
-    by the keys it is joined in place and only the delta is shuffled.
+    At equal stamps the delta's row stands: it came later. The base must hold one
+    row per key (as a result of this function does); the delta may hold several.
+    Applying the same delta again changes nothing, and nothing is deleted. A NULL
+    key in the delta raises. If the base is bucketed by the keys it is joined in
+    place and only the delta is shuffled.
     """
     checked = delta.withColumns(
         {k: F.coalesce(k, F.raise_error(F.lit(f"upsert: NULL in key column {k}"))) for k in keys}
@@ -40,12 +35,13 @@ def upsert(base: DataFrame | None, delta: DataFrame, keys: Sequence[str], order_
     newest = latest_per_key(checked, keys, order_col)
     if base is None:
         return newest
-    newest = newest.select(*base.columns)
-    old = base.select(*keys, _versions(base, keys, order_col).alias("_old"))
-    new = newest.select(*keys, _versions(base, keys, order_col).alias("_new"))
+    rest = [c for c in base.columns if c not in keys]
+    old = base.select(*keys, F.struct(*rest).alias("_old"))
+    new = newest.select(*keys, F.struct(*rest).alias("_new"))
     merged = old.join(new, list(keys), "full_outer")
-    return (
-        merged.select(*keys, F.greatest("_old", "_new").alias("_row"))
-        .select(*keys, "_row.*")
-        .select(*base.columns)
+    older = F.col("_new").isNull() | (
+        F.col("_old").isNotNull()
+        & F.coalesce(F.col(f"_new.{order_col}") < F.col(f"_old.{order_col}"), F.col(f"_old.{order_col}").isNotNull())
     )
+    row = F.when(older, F.col("_old")).otherwise(F.col("_new")).alias("_row")
+    return merged.select(*keys, row).select(*keys, "_row.*").select(*base.columns)

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from shelfscan.functions import intersect, json_array, or_empty
 
@@ -28,41 +29,45 @@ def tag_join(df: DataFrame, mapping: DataFrame, key: str, tag: str) -> DataFrame
     return df.join(mapping.withColumnRenamed(tag, key), key)
 
 
-def dictionary_array(dictionary: DataFrame, key: str, max_entries: int = 1000) -> Column:
-    """A small dictionary as one array inside the plan (an uncorrelated subquery).
+def _known_bytes(df: DataFrame) -> int:
+    """The planner's size of a relation, known before anything runs."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
-    Reads at most one entry over the limit and raises if it is there, so a
-    dictionary that outgrew this form is neither gathered whole nor cut short;
-    use :func:`match_large` for it.
-    """
-    gathered = dictionary.select(key).limit(max_entries + 1).agg(F.collect_list(key).alias("entries"))
-    too_large = F.raise_error(F.lit(f"dictionary has more than {max_entries} entries"))
-    return gathered.select(
-        F.when(F.size("entries") <= max_entries, F.col("entries")).otherwise(too_large)
-    ).scalar()
 
+_UNITS = {"": 1, "b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
 
-def match_dictionary(
-    df: DataFrame, tags: str, dictionary: DataFrame, key: str, alias: str, max_entries: int = 1000
-) -> DataFrame:
-    """Adds the tags that are in a small dictionary, without a shuffle."""
-    entries = dictionary_array(dictionary, key, max_entries)
-    return df.withColumn(alias, intersect(F.col(tags), entries))
 
+def _broadcast_limit(df: DataFrame) -> int:
+    number, unit = re.match(r"(-?\d+)\s*(\w?)", df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")).groups()
+    return int(number) * _UNITS[unit.lower()]
 
-def match_large(
+
+def match_dictionary(
     df: DataFrame, row_id: str, tags: str, dictionary: DataFrame, key: str, alias: str
 ) -> DataFrame:
-    """:func:`match_dictionary` for a dictionary of any size; ``row_id`` must be unique.
+    """Adds each row's distinct tags that are in a dictionary of any size, in the row's order.
 
-    The matched tags come back sorted. Only ids and tags go through the semi join.
+    ``row_id`` must be unique. A dictionary whose planned size is below the
+    broadcast limit becomes one array in the plan, and nothing moves. For another
+    one, ids and tags go through a semi join, and the matches come back to their
+    rows by id; over a table bucketed by the id the wide rows don't move either.
+    Both give the same rows.
     """
-    matched = (
-        explode_tags(df, tags, key, keep=[row_id])
-        .join(dictionary.select(key), key, "left_semi")
-        .groupBy(row_id)
-        .agg(F.array_sort(F.collect_set(key)).alias(alias))
-    )
+    if _known_bytes(dictionary) <= _broadcast_limit(df):
+        entries = dictionary.select(key).agg(F.collect_list(key)).scalar()
+        return df.withColumn(alias, intersect(F.col(tags), entries))
+    return match_joined(df, row_id, tags, dictionary, key, alias)
+
+
+def match_joined(
+    df: DataFrame, row_id: str, tags: str, dictionary: DataFrame, key: str, alias: str
+) -> DataFrame:
+    """:func:`match_dictionary` by joins, whatever the size of the dictionary."""
+    tagged = df.select(row_id, F.posexplode(tags).alias("_place", key))
+    found = tagged.join(dictionary.select(key), key, "left_semi")
+    first = found.groupBy(row_id, key).agg(F.min("_place").alias("_place"))
+    in_order = F.array_sort(F.collect_list(F.struct("_place", key)))
+    matched = first.groupBy(row_id).agg(F.transform(in_order, lambda x: x[key]).alias(alias))
     return df.join(matched, row_id, "left").withColumn(alias, or_empty(F.col(alias)))
 
 

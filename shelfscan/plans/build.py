@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import dataclasses
+from urllib.parse import quote
+
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfscan import schemas
@@ -9,12 +12,16 @@ from shelfscan.operators import require
 from shelfscan.plans import mart as mart_plan
 from shelfscan.plans import staging as staging_plan
 from shelfscan.plans.ingest import ingest, load_name, merge_into_raw, read_raw
-from shelfscan.plans.quality import run_checks
-from shelfscan.sources.dimensions import health_claims
-from shelfscan.sources.state import LoadState, read_state
+from shelfscan.plans.quality import mart_checks, staging_checks
+from shelfscan.sources.dimensions import health_claims, load_seed
+from shelfscan.sources.state import LoadState, append_state, read_state
 from shelfscan.sources.tables import materialize, read_table
 
 
+MART = "mart_deceptive_by_category"
+MODELS = {"stg_products": schemas.STAGING, MART: schemas.MART}
+
+
 def run_load(
     spark: SparkSession,
     source: DataFrame,
@@ -30,47 +37,88 @@ def run_load(
     return merge_into_raw(spark, delta, root, name, buckets=buckets)
 
 
-def model_paths(root: str, scope: str) -> tuple[str, str]:
-    """Where staging and mart of a scope are written."""
-    return f"{root}/{scope}/stg_products", f"{root}/{scope}/mart_deceptive_by_category"
+def models_name(scope: str, backend: str = "spark") -> str:
+    """The name under which the state of a scope's models is kept."""
+    return f"models_{backend}_{scope.lower()}"
+
+
+def model_path(root: str, scope: str, backend: str, model: str, version: int) -> str:
+    """Where a version of a model is written."""
+    return f"{root}/{quote(models_name(scope, backend), safe='')}/{model}/version={version}"
+
+
+def read_model(spark: SparkSession, root: str, model: str, scope: str = "brazil", backend: str = "spark") -> DataFrame:
+    """The published version of a model; raises if there is none."""
+    state = read_state(spark, f"{root}/state", models_name(scope, backend))
+    if not state.version:
+        raise LookupError(f"no models of scope {scope!r} were built from {backend} loads under {root}")
+    return read_table(spark, model_path(root, scope, backend, model, state.version), MODELS[model])
 
 
-def register_views(spark: SparkSession, root: str, scope: str = "brazil") -> None:
+def register_views(
+    spark: SparkSession,
+    root: str,
+    scope: str = "brazil",
+    claims: DataFrame | None = None,
+    backend: str = "spark",
+) -> None:
     """Names the tables of a scope in the session, for ``spark.table`` and SQL."""
-    stg_path, mart_path = model_paths(root, scope)
     views = {
-        "raw_products": read_raw(spark, root, load_name(scope)),
-        "health_claims": health_claims(spark),
-        "stg_products": read_table(spark, stg_path, schemas.STAGING),
-        "mart_deceptive_by_category": read_table(spark, mart_path, schemas.MART),
+        "raw_products": read_raw(spark, root, load_name(scope, backend)),
+        "health_claims": health_claims(spark) if claims is None else claims,
+        **{model: read_model(spark, root, model, scope, backend) for model in MODELS},
     }
     for name, df in views.items():
         df.createOrReplaceTempView(name)
 
 
 def run_models(
-    spark: SparkSession, root: str, scope: str = "brazil", claims: DataFrame | None = None
+    spark: SparkSession,
+    root: str,
+    scope: str = "brazil",
+    claims: DataFrame | None = None,
+    backend: str = "spark",
 ) -> tuple[DataFrame, DataFrame]:
-    """Rebuilds staging and mart of a scope from its raw table; returns both as written."""
-    raw = read_raw(spark, root, load_name(scope))
+    """Rebuilds staging and mart of a scope from its raw table; returns both as published.
+
+    Each build writes new folders: staging is written and checked, then the mart
+    is, and only then does the state name them. A build that fails, or whose
+    checks do, leaves readers the version they had; the next build writes the same
+    folders anew. Older versions stay until they are deleted.
+    """
+    name = load_name(scope, backend)
+    if not read_state(spark, f"{root}/state", name).version:
+        raise LookupError(f"load {name} never ran under {root}")
     claims = health_claims(spark) if claims is None else claims
-    stg_path, mart_path = model_paths(root, scope)
-    materialize(
-        staging_plan.build_staging(raw, claims),
-        stg_path,
-        partition_by=staging_plan.PARTITION_BY,
-        cluster_by=staging_plan.CLUSTER_BY,
-    )
-    stg = read_table(spark, stg_path, schemas.STAGING)
-    materialize(mart_plan.build_mart(stg), mart_path, cluster_by=mart_plan.CLUSTER_BY)
-    return stg, read_table(spark, mart_path, schemas.MART)
+    state = read_state(spark, f"{root}/state", models_name(scope, backend))
+    paths = {m: model_path(root, scope, backend, m, state.version + 1) for m in MODELS}
+
+    staging = staging_plan.build_staging(read_raw(spark, root, name), claims)
+    layout = {"partition_by": staging_plan.PARTITION_BY, "cluster_by": staging_plan.CLUSTER_BY}
+    materialize(staging, paths["stg_products"], **layout)
+    stg = read_table(spark, paths["stg_products"], schemas.STAGING)
+    require(staging_checks(stg))
+
+    materialize(mart_plan.build_mart(stg), paths[MART], cluster_by=mart_plan.CLUSTER_BY)
+    mart = read_table(spark, paths[MART], schemas.MART)
+    require(mart_checks(mart))
+
+    append_state(spark, f"{root}/state", dataclasses.replace(state, version=state.version + 1))
+    return stg, mart
 
 
 def run_build(
-    spark: SparkSession, source: DataFrame, root: str, scope: str = "brazil", buckets: int | None = None
+    spark: SparkSession,
+    source: DataFrame,
+    root: str,
+    scope: str = "brazil",
+    buckets: int | None = None,
+    seed: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Load, models and checks of a scope under one root; raises if a check fails."""
+    """Load, models and checks of a scope under one root; raises if a check fails.
+
+    ``seed``: a CSV of claim tags and families, read on every build; the packaged one if left out.
+    """
     run_load(spark, source, root, scope, buckets)
-    stg, mart = run_models(spark, root, scope)
-    require(run_checks(stg, mart))
-    return stg, mart
+    claims = load_seed(spark, seed, schemas.HEALTH_CLAIMS) if seed else None
+    return run_models(spark, root, scope, claims)

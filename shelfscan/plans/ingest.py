@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Sequence
+from urllib.parse import quote
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from shelfscan import schemas
@@ -15,6 +17,10 @@ from shelfscan.sources.state import LoadState, append_state, read_state
 from shelfscan.sources.tables import open_bucketed, write_bucketed
 
 
+#: Bytes of the raw table that a bucket is meant to hold.
+BUCKET_BYTES = 1 << 30
+
+
 def ingest(
     source: DataFrame, scope: str = "brazil", cutoff: int = 0, inclusive: bool = False
 ) -> DataFrame:
@@ -55,17 +61,19 @@ def merge_into_raw(
     leaves the current slot and the cursor untouched, and running again gives
     the same rows. Without news nothing is written.
 
-    The slots are bucketed by key, so a merge shuffles the delta only. The first
-    load takes as many ``buckets`` as the session has shuffle partitions unless
-    told otherwise; aim for about 1 GB each. Passing another number later
-    rewrites the table in that many.
+    The slots are bucketed by key, so a merge shuffles the delta only. Unless told
+    otherwise, the number of ``buckets`` follows the table's bytes, about
+    ``BUCKET_BYTES`` each, and doubles as the table grows past that; another number
+    than before rewrites the table in that many. The cursor is taken from the delta
+    while it is written.
     """
     state = read_state(spark, f"{root}/state", name)
     if delta.isEmpty():
         return state
+    seen = Observation()
+    delta = delta.observe(seen, F.max(order_col).alias("newest"))
     slot = "b" if state.slot == "a" else "a"
-    shuffle_partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    buckets = buckets or state.buckets or shuffle_partitions
+    buckets = buckets or _buckets_for(spark, delta, state, root, name)
     base = None
     if state.version:
         base = _open_slot(spark, root, name, state.slot, schema, keys, state.buckets)
@@ -74,12 +82,32 @@ def merge_into_raw(
         merged = merged.repartition(buckets, *keys)
     table, path = slot_table(root, name, slot, buckets)
     write_bucketed(merged, table, path, keys, buckets)
-    newest = spark.table(table).agg(F.max(order_col)).first()[0]
+    newest = seen.get["newest"]
     state = LoadState(name, state.version + 1, max(state.cursor, newest or 0), slot, buckets)
     append_state(spark, f"{root}/state", state)
     return state
 
 
+def _buckets_for(spark: SparkSession, delta: DataFrame, state: LoadState, root: str, name: str) -> int:
+    """A power of two, by the bytes of the current slot or, at first, the planned size of the delta.
+
+    Where the planner can't tell that size, as many as the session has shuffle partitions.
+    """
+    if state.version:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(slot_table(root, name, state.slot, state.buckets)[1])
+        files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+        wanted = files.getContentSummary(folder).getLength()
+    else:
+        wanted = int(delta._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+        if wanted >= 1 << 60:
+            return int(spark.conf.get("spark.sql.shuffle.partitions"))
+    most = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets"))
+    many = 1
+    while many * BUCKET_BYTES < wanted and 2 * many <= most:
+        many *= 2
+    return max(many, state.buckets)
+
+
 def read_raw(
     spark: SparkSession,
     root: str,
@@ -97,12 +125,13 @@ def read_raw(
 def slot_table(root: str, name: str, slot: str, buckets: int) -> tuple[str, str]:
     """Name and path of a slot.
 
-    The name tells roots and bucket counts apart, so a definition another session
-    left in the catalog is never taken for this one.
+    The name tells roots, loads and bucket counts apart, so a definition another
+    session left in the catalog is never taken for this one. Characters a catalog
+    would refuse are replaced in it; the digest keeps such names apart.
     """
-    path = f"{root}/{name}/slot={slot}"
+    path = f"{root}/{quote(name, safe='')}/slot={slot}"
     digest = hashlib.sha256(path.encode()).hexdigest()[:12]
-    return f"{name}_{slot}_{buckets}_{digest}", path
+    return f"{re.sub('[^A-Za-z0-9_]', '_', name)}_{slot}_{buckets}_{digest}", path
 
 
 def _open_slot(spark, root, name, slot, schema, keys, buckets) -> DataFrame:

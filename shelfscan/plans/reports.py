@@ -80,7 +80,9 @@ def tile1_raw_pct(stg: DataFrame) -> DataFrame:
 def tile2_claims(stg: DataFrame) -> DataFrame:
     """Ultra-processed share per health claim."""
     return (
-        explode_tags(stg, "matched_health_claims", "claim", keep=["is_ultra_processed"])
+        explode_tags(
+            stg.filter("has_health_claim"), "matched_health_claims", "claim", keep=["is_ultra_processed"]
+        )
         .groupBy("claim")
         .agg(
             F.count("*").alias("total"),

@@ -9,41 +9,42 @@ from shelfscan import schemas
 from shelfscan.functions import (
     epoch_to_date,
     epoch_to_timestamp,
-    intersect,
     nonempty,
     normalize_grade,
     or_empty,
     ordinal_map,
     parse_json_array,
 )
-from shelfscan.operators import dictionary_array
+from shelfscan.operators import match_dictionary
 
 #: Grades from best to worst.
 GRADES = {"a": 1, "b": 2, "c": 3, "d": 4, "e": 5}
 
 PARTITION_BY = ("created_year",)
-CLUSTER_BY = ("is_deceptive", "nutriscore_grade", "is_ultra_processed")
+#: The flags that reports filter by, then the day: a window of dates skips row groups.
+CLUSTER_BY = ("is_deceptive", "nutriscore_grade", "is_ultra_processed", "created_date")
 
 
 def _tag_array(raw: DataFrame, name: str) -> Column:
     """A tag column of the raw table as an array, whether it is one or JSON text."""
     if isinstance(raw.schema[name].dataType, T.StringType):
-        return or_empty(parse_json_array(F.col(name)))
+        text = F.col(name)
+        malformed = F.raise_error(F.concat(F.lit(f"{name} is no JSON array: "), F.left(text, F.lit(100))))
+        parsed = parse_json_array(text)
+        return or_empty(F.when(text.isNotNull() & parsed.isNull(), malformed).otherwise(parsed))
     return or_empty(F.col(name))
 
 
 def build_staging(raw: DataFrame, claims: DataFrame) -> DataFrame:
     """Staging rows of the raw table; ``claims`` is the dictionary of claim tags.
 
-    Narrow: filters and expressions only, no shuffle.
+    Narrow while the dictionary is below the broadcast limit: filters and
+    expressions only. A tag column that is malformed JSON text raises.
     """
     nova, grade = F.col("nova_group"), F.col("nutriscore_grade")
     named = raw.filter(nova.isNotNull() & F.col("product_name").isNotNull())
     parsed = named.withColumns({c: _tag_array(raw, c) for c in schemas.TAG_COLUMNS})
-    matched = parsed.withColumn(
-        "matched_health_claims",
-        intersect(F.col("labels_tags"), dictionary_array(claims, "claim_tag")),
-    )
+    matched = match_dictionary(parsed, "code", "labels_tags", claims, "claim_tag", "matched_health_claims")
     has_claim = nonempty(F.col("matched_health_claims"))
     return matched.select(
         F.col("code").alias("product_id"),

@@ -8,7 +8,7 @@ from shelfscan.sources.dimensions import (
     load_seed,
     mapping_df,
 )
-from shelfscan.sources.products import describe_source, read_modified_after, read_products
+from shelfscan.sources.products import describe_source, profile_source, read_modified_after, read_products
 from shelfscan.sources.state import LoadState, append_state, high_water_marks, read_state
 from shelfscan.sources.tables import (
     materialize,
@@ -25,6 +25,7 @@ __all__ = [
     "append_state",
     "category_groups",
     "describe_source",
+    "profile_source",
     "health_claims",
     "high_water_marks",
     "load_seed",

@@ -7,11 +7,13 @@ cursor is not used to select rows; replaying a batch changes nothing.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from shelfscan import schemas
 from shelfscan.plans.ingest import ingest, load_name, merge_into_raw
+from shelfscan.sources import read_products
 
 
 def checkpoint_folder(spark: SparkSession, name: str) -> str:
@@ -22,6 +24,16 @@ def checkpoint_folder(spark: SparkSession, name: str) -> str:
     return f"{shared.rstrip('/')}/{name}"
 
 
+def _stored(spark: SparkSession, source_dir: str) -> T.StructType:
+    """The used columns with the types the files have; the declared ones while there are no files."""
+    try:
+        return read_products(spark, source_dir).schema
+    except AnalysisException as error:
+        if error.getCondition() not in ("UNABLE_TO_INFER_SCHEMA", "PATH_NOT_FOUND"):
+            raise
+        return schemas.SOURCE
+
+
 def stream_into_raw(
     spark: SparkSession,
     source_dir: str,
@@ -31,7 +43,10 @@ def stream_into_raw(
     checkpoint: str | None = None,
     max_files_per_batch: int = 1000,
 ) -> StreamingQuery:
-    """Merges the export files not taken yet, then stops by itself."""
+    """Merges the export files not taken yet, then stops by itself.
+
+    The models of this load are built with ``backend="stream"``.
+    """
     name = load_name(scope, backend="stream")
 
     def merge(batch: DataFrame, batch_id: int) -> None:
@@ -39,7 +54,7 @@ def stream_into_raw(
         merge_into_raw(batch.sparkSession, delta, root, name, buckets=buckets)
 
     arriving = (
-        spark.readStream.schema(schemas.SOURCE)
+        spark.readStream.schema(_stored(spark, source_dir))
         .option("maxFilesPerTrigger", max_files_per_batch)
         .parquet(source_dir)
     )

@@ -47,9 +47,11 @@ def test_several_unique_columns_and_none(spark):
     assert report(check_table(df, "t", not_null=["a"])) == {("a", "not_null"): 0}
 
 
-def test_all_checks_of_a_model_share_one_pass(spark, plan_of):
+def test_only_the_key_is_shuffled_for_uniqueness(spark, plan_of):
     plan = plan_of(checked(spark, [("x", 1, "a")]))
-    assert plan.count("Scan ExistingRDD") == 1
+    assert plan.count("Scan ExistingRDD") == 2
+    (by_key,) = [x for x in plan.splitlines() if "keys=[k" in x and "partial_count" in x]
+    assert by_key.count("count(") == 1
 
 
 def test_declared_checks(raw_rows, claims):

@@ -1,15 +1,19 @@
 from __future__ import annotations
 
 import datetime as dt
+import glob
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from shelfscan import schemas
 from shelfscan.functions.sql import register_functions
-from shelfscan.plans.build import register_views, run_build, run_load
+from shelfscan.operators import ChecksFailed
+from shelfscan.plans.build import read_model, register_views, run_build, run_load, run_models
 from shelfscan.plans.ingest import ingest, load_name, merge_into_raw, read_raw
-from shelfscan.sources import read_products, read_state
+from shelfscan.plans.staging import build_staging
+from shelfscan.sources import load_seed, read_products, read_state
 
 
 def test_ingest_flattens_and_filters(source_rows):
@@ -211,3 +215,86 @@ def test_run_build_end_to_end(spark, source_rows, tmp_path):
     ).first()
     day = dt.date(1970, 1, 1)
     assert tuple(row) == (5, 1.0, None, "acucar", 2, day)
+
+
+def test_names_a_catalog_would_refuse(spark, source_rows, tmp_path):
+    root = str(tmp_path)
+    for scope, code in (("eu-west", "7891"), ("eu_west", "7892")):
+        for stamp in (1, 2):
+            run_load(spark, export(source_rows, (code, stamp, "x")), root, scope)
+        assert [r[0] for r in content(read_raw(spark, root, load_name(scope)))] == [code]
+
+
+def test_the_delta_stands_at_equal_stamps(spark, source_rows, tmp_path):
+    root, name = str(tmp_path), load_name("equal")
+    merge_into_raw(spark, ingest(export(source_rows, ("7891", 5, "z"))), root, name)
+    merge_into_raw(spark, ingest(export(source_rows, ("7891", 5, "a"))), root, name)
+    assert content(read_raw(spark, root, name)) == [("7891", 5, "a")]
+
+
+def test_buckets_grow_with_the_table(spark, source_rows, tmp_path, monkeypatch):
+    root, name = str(tmp_path), load_name("larger")
+    monkeypatch.setattr("shelfscan.plans.ingest.BUCKET_BYTES", 1500)
+    rows = [(f"789{i:05}", 1, "x") for i in range(300)]
+    first = merge_into_raw(spark, ingest(export(source_rows, *rows[:3])), root, name)
+    merge_into_raw(spark, ingest(export(source_rows, *rows)), root, name)
+    last = merge_into_raw(spark, ingest(export(source_rows, ("7891", 9, "y"))), root, name)
+    assert last.buckets > first.buckets or first.buckets > 2
+    assert len(content(read_raw(spark, root, name))) == 301
+
+
+@pytest.mark.parametrize("kind", ["int", "bigint", "double", "string"])
+def test_numbers_may_be_stored_as_other_types(spark, source_rows, tmp_path, kind):
+    path = str(tmp_path / "export")
+    rows = source_rows({"code": "7891", "nova_group": 4}).withColumn("extra", F.lit(1))
+    rows.withColumn("nova_group", F.col("nova_group").cast(kind)).write.parquet(path)
+    got = ingest(read_products(spark, path))
+    assert got.schema == schemas.RAW
+    assert [r.nova_group for r in got.collect()] == [4]
+
+
+def built(spark, source_rows, root, *codes):
+    rows = [{"code": c, "nova_group": 4, "labels_tags": ["en:organic"], "last_modified_t": 10} for c in codes]
+    return run_build(spark, source_rows(*rows), root)
+
+
+def test_a_failed_write_leaves_the_published_models(spark, source_rows, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    built(spark, source_rows, root, "7891", "7892")
+
+    def broken(raw, claims):
+        return build_staging(raw, claims).filter(F.coalesce(F.assert_true(F.lit(False)).cast("boolean"), F.lit(True)))
+
+    monkeypatch.setattr("shelfscan.plans.staging.build_staging", broken)
+    with pytest.raises(Exception):
+        run_models(spark, root)
+    assert read_model(spark, root, "stg_products").count() == 2
+
+
+def test_failed_checks_leave_the_published_models(spark, source_rows, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    built(spark, source_rows, root, "7891", "7892")
+    twice = lambda raw, claims: build_staging(raw, claims).union(build_staging(raw, claims))
+    monkeypatch.setattr("shelfscan.plans.staging.build_staging", twice)
+    with pytest.raises(ChecksFailed, match="product_id unique: 2"):
+        run_models(spark, root)
+    assert read_model(spark, root, "stg_products").count() == 2
+    assert not glob.glob(f"{root}/models_spark_brazil/mart_deceptive_by_category/version=2")
+
+
+def test_models_of_a_load_that_never_ran(spark, tmp_path):
+    with pytest.raises(LookupError):
+        run_models(spark, str(tmp_path), backend="stream")
+    with pytest.raises(LookupError):
+        read_model(spark, str(tmp_path), "stg_products")
+
+
+def test_a_seed_replaces_the_packaged_claims(spark, source_rows, tmp_path):
+    seed = tmp_path / "claims.csv"
+    seed.write_text("# mine\nclaim_tag,claim_family\nen:bio,organic\n")
+    rows = source_rows({"code": "7891", "labels_tags": ["en:bio", "en:organic"], "nova_group": 4})
+    stg, _ = run_build(spark, rows, str(tmp_path / "tables"), seed=str(seed))
+    assert [r.matched_health_claims for r in stg.collect()] == [["en:bio"]]
+    register_functions(spark, load_seed(spark, str(seed), schemas.HEALTH_CLAIMS))
+    assert spark.sql("SELECT match_health_claims(array('en:organic', 'en:bio'))").first()[0] == ["en:bio"]
+    register_functions(spark)

@@ -84,33 +84,37 @@ def test_tag_join_is_inner(spark):
 MATCH_ROWS = [(1, ["x", "q"]), (2, ["x", "x", "z"]), (3, []), (4, None), (5, [None, "z"])]
 
 
-def test_match_dictionary(spark):
-    df = spark.createDataFrame(MATCH_ROWS, "id int, t array<string>")
-    dim = spark.createDataFrame([("x",), ("z",), ("x",)], "tag string")
-    got = op.match_dictionary(df, "t", dim, "tag", "m").orderBy("id").select("m")
-    assert [r[0] for r in got.collect()] == [["x"], ["x", "z"], [], [], ["z"]]
+MATCHERS = [op.match_dictionary, op.match_joined]
 
 
-def test_match_large_agrees(spark):
-    df = spark.createDataFrame(MATCH_ROWS, "id int, t array<string>")
+@pytest.mark.parametrize("match", MATCHERS)
+def test_match_keeps_the_order_of_the_row(spark, match):
+    df = spark.createDataFrame([*MATCH_ROWS, (6, ["z", "x", "z"])], "id int, t array<string>")
     dim = spark.createDataFrame([("x",), ("z",), ("x",)], "tag string")
-    got = op.match_large(df, "id", "t", dim, "tag", "m").orderBy("id")
-    assert [r.m for r in got.collect()] == [["x"], ["x", "z"], [], [], ["z"]]
+    got = match(df, "id", "t", dim, "tag", "m").orderBy("id")
+    assert [r.m for r in got.collect()] == [["x"], ["x", "z"], [], [], ["z"], ["z", "x"]]
     assert got.columns == ["id", "t", "m"]
 
 
-def test_match_dictionary_refuses_a_large_one(spark):
-    df = spark.createDataFrame(MATCH_ROWS, "id int, t array<string>")
-    dim = spark.range(11).select(F.col("id").cast("string").alias("tag"))
-    assert op.match_dictionary(df, "t", dim, "tag", "m", max_entries=11).count() == 5
-    with pytest.raises(Exception, match="more than 10 entries"):
-        op.match_dictionary(df, "t", dim, "tag", "m", max_entries=10).collect()
-
-
-def test_match_with_empty_dictionary(spark):
+@pytest.mark.parametrize("match", MATCHERS)
+def test_match_with_empty_dictionary(spark, match):
     df = spark.createDataFrame(MATCH_ROWS, "id int, t array<string>")
     dim = spark.createDataFrame([], "tag string")
-    assert [r.m for r in op.match_dictionary(df, "t", dim, "tag", "m").collect()] == [[]] * 5
+    assert [r.m for r in match(df, "id", "t", dim, "tag", "m").collect()] == [[]] * 5
+
+
+def test_a_dictionary_of_any_size_matches_the_same(spark, plan_of, monkeypatch):
+    df = spark.createDataFrame([(1, ["4999", "7", "x"]), (2, ["5000"]), (3, None)], "id int, t array<string>")
+    dim = spark.range(5000).select(F.col("id").cast("string").alias("tag"))
+    small = op.match_dictionary(df, "id", "t", dim, "tag", "m").orderBy("id").collect()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1KB")
+    try:
+        large = op.match_dictionary(df, "id", "t", dim, "tag", "m").orderBy("id")
+        assert "Join" in plan_of(large)
+        assert large.collect() == small
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert [r.m for r in small] == [["4999", "7"], [], []]
 
 
 def test_share_of_total(spark):

@@ -7,7 +7,7 @@ import glob
 import pytest
 from pyspark.sql import functions as F
 
-from shelfscan.operators import group_mode, match_large, tag_join
+from shelfscan.operators import group_mode, match_joined, tag_join
 from shelfscan.sources import materialize
 
 SMALL = {
@@ -52,7 +52,7 @@ def test_join_with_a_mapping_splits_a_hot_tag(spark, plan_of, small_limits):
 def test_matching_a_large_dictionary_keeps_every_row(spark, small_limits):
     rows = hot_tags(spark, 30_000).select("id", F.array("category", F.lit("never")).alias("tags"))
     dictionary = spark.createDataFrame([("hot",), ("t1",), ("t2",)], "tag string")
-    matched = match_large(rows, "id", "tags", dictionary, "tag", "m")
+    matched = match_joined(rows, "id", "tags", dictionary, "tag", "m")
     assert matched.count() == 30_000
     assert matched.filter(F.array_contains("m", "hot")).count() == 10_000
 

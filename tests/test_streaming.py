@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import pytest
 
+from shelfscan.plans.build import run_models
 from shelfscan.plans.ingest import load_name, read_raw
 from shelfscan.streaming import stream_into_raw
 from shelfscan.streaming.incremental import checkpoint_folder
@@ -22,6 +23,8 @@ def test_arriving_files_are_merged_once(spark, source_rows, tmp_path):
     assert arrive(("7891", 5), ("7891", 6), ("4001", 9)) == [("7891", 6)]
     assert arrive(("7891", 4), ("7892", 1)) == [("7891", 6), ("7892", 1)]
     assert arrive(("7892", 8)) == [("7891", 6), ("7892", 8)]
+    stg, _ = run_models(spark, root, backend="stream")
+    assert sorted(r.product_id for r in stg.collect()) == ["7891", "7892"]
 
 
 def test_checkpoint_folder_comes_from_the_session(spark):
