@@ -9,16 +9,17 @@ key for the part of it that falls into a segment (its segment subset).
 
 Allocation. Some keys cost too much: an empty segment says nothing, and a subset
 that very many unlike sets share gives too many pairs. A group therefore has spare
-segments, and a set may leave out as many keys. A set with more empty segments than
-that also sends, for the first segments that make up for it, the keys of all subsets
-with one element deleted, which finds segments that differ by one. A set that
-would have to leave out more costly keys than it has spare ones keeps them all.
+segments, and a set leaves out as many keys as it has spare ones: its empty
+segments, then those with the largest buckets. Two linked sets have more than the
+spare number of segments in common, and the cheapest of these neither leaves out. A
+set with more empty segments than spare ones also sends, for the first segments
+that make up for it, the keys of all subsets with one element deleted, which finds
+segments that differ by one.
 
 Pairs. Sets that are equal are one node. In every bucket of a key each node is
 first paired with the least one only; the pairs that hold are joined into
 components. Then all pairs of a bucket whose components still differ are looked at,
-in buckets of up to ``SMALL`` nodes and, for sets without spare segments left, in
-larger ones. Pairs whose bitmaps of elements differ by too much can't be linked and
+for the keys that are not left out. Pairs whose bitmaps of elements differ by too much can't be linked and
 go; the rest is verified on the sets themselves. No pair between different
 components is left out, so components are exact.
 
@@ -38,14 +39,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from shelfscan.llm.components import components
-from shelfscan.llm.tables import checkpointed, written
+from shelfscan.llm.tables import batches_of, checkpointed, written
 from shelfscan.llm.words import Words, blocks, mix, runs, words_of
 
 #: Words of a shingle; similarity in percent.
 SHINGLE, PERCENT = 5, 80
 
-#: Nodes of a bucket whose pairs are all looked at in any case.
-SMALL = 24
+#: Rows handed to Python at once.
+BATCH = 1000
 
 #: Bits of a node's bitmap.
 BITS = 1024
@@ -296,6 +297,11 @@ def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, shingle: int,
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id) of each row."""
+    with batches_of(docs.sparkSession, BATCH):
+        return _near_duplicates(docs, shingle, percent)
+
+
+def _near_duplicates(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     texts = docs.select("doc_id", "text")
     rows = written(documents_of(texts, shingle, percent), "sets")
     first = F.struct("doc_id", "n_shingles", "bits", "empty_0", "empty_1", "spare_0", "spare_1")
@@ -317,11 +323,10 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
         F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("size")
     ).filter("x < y")
     members = written(members.join(mixed.select("key", "size"), "key"), "mixed")
-    costly = members.filter(F.col("size") > SMALL)
-    spent = costly.groupBy("node", "low").agg(F.count("*").alias("spent")).join(nodes, "node")
     choice = lambda name: F.when(F.col("low"), F.col(f"{name}_1")).otherwise(F.col(f"{name}_0"))
-    lacking = spent.filter(F.col("spent") + choice("empty") > choice("spare")).select("node", "low")
-    looked_at = members.filter(F.col("size") <= SMALL).unionByName(costly.join(lacking, ["node", "low"], "left_semi"))
+    costliest = Window.partitionBy("node", "low").orderBy(F.desc("size"), "key")
+    ranked = members.withColumn("place", F.row_number().over(costliest)).join(nodes, "node")
+    looked_at = ranked.filter(F.col("place") > F.greatest(choice("spare") - choice("empty"), F.lit(0)))
     left = looked_at.select("key", F.col("node").alias("a"), F.col("root").alias("ra"))
     right = looked_at.select("key", F.col("node").alias("b"), F.col("root").alias("rb"))
     crossing = left.join(right, "key").filter("a < b AND ra <> rb").select("a", "b").distinct()
