@@ -3,7 +3,7 @@
 A window of ``window`` words can only be found in two texts if each part of it is.
 So short runs are counted first; a run is doubled only where it is repeated, and
 again, until the window's length is reached or no candidate is left. With 13 words
-the lengths are 4, 8 and 13.
+the lengths are 7 and, twice that being enough, 13; with 50 they are 7, 14, 28 and 50.
 
 At the first length one run speaks for all windows around it: of the runs in a
 window, the one with the least hash, which is the same one wherever the window
@@ -35,8 +35,8 @@ from pyspark.sql import DataFrame, functions as F
 from shelfscan.llm.tables import checkpointed
 from shelfscan.llm.words import Words, blocks, runs, words_of
 
-#: Length of the first runs.
-SEED = 4
+#: Length of the first runs. Shorter ones repeat by chance too often, longer ones thin the rows less.
+SEED = 7
 
 
 def lengths(window: int) -> list[int]:
@@ -105,8 +105,8 @@ def _emitter(level: int, window: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = np.asarray(batch.column("doc_id"))
-            lists = _key_lists(batch, "keys") if level else None
+            ids = np.asarray(batch.column("doc_id").fill_null(0))
+            lists = _key_lists(batch, "__keys") if level else None
             for at, end, data, offsets in blocks(batch.column("text")):
                 known = level and [lists[1][lists[0][i] : lists[0][i + 1]] for i in range(at, end)] or None
                 text, _, keys = _candidates(words_of(data, offsets), known, level, window)
@@ -146,25 +146,28 @@ def _removed(words: Words, known: list[np.ndarray], window: int) -> np.ndarray:
     return np.cumsum(gone[:-1]) > 0
 
 
-def repeated_windows(docs: DataFrame, window: int = 13) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, text dealt by id; doc_id, keys): windows of each text that start in a smaller id."""
-    texts = docs.select("doc_id", "text")
+def _with_keys(docs: DataFrame, lists: DataFrame) -> DataFrame:
+    """Each text with its list. Always this join of whole rows, so that the texts are dealt out once."""
+    return docs.join(lists.withColumnRenamed("keys", "__keys"), "doc_id", "left")
+
+
+def repeated_windows(docs: DataFrame, window: int = 13) -> DataFrame:
+    """(doc_id, keys): windows of each text of ``docs`` that start in a smaller id."""
     steps = lengths(window)
     schema = "key bigint, doc_id bigint"
-    known = texts.filter("doc_id IS NOT NULL AND text IS NOT NULL")
-    rows = known.mapInArrow(_emitter(0, window), schema)
-    lists = checkpointed(_lists(rows, len(steps) == 1))
+    known = docs.select("doc_id", "text").filter("doc_id IS NOT NULL AND text IS NOT NULL")
+    lists = checkpointed(_lists(known.mapInArrow(_emitter(0, window), schema), len(steps) == 1))
     for level in range(1, len(steps)):
-        # the list is empty for most texts at the end: they send nothing
-        rows = known.join(lists, "doc_id").mapInArrow(_emitter(level, window), schema)
+        rows = _with_keys(docs, lists).mapInArrow(_emitter(level, window), schema)
         lists = _lists(rows, level == len(steps) - 1)
-    return texts, lists
+    return lists
 
 
 def remove_repeats(docs: DataFrame, window: int = 13, text: str = "kept") -> DataFrame:
     """``docs`` with n_words, n_removed and the kept words of each text, joined by spaces."""
     kept = [c for c in docs.columns if c not in ("n_words", "n_removed", text)]
-    _, lists = repeated_windows(docs, window)
+    docs = docs.select(*kept)
+    lists = repeated_windows(docs, window)
     schema = docs.select(*kept).schema.add("n_words", "long").add("n_removed", "long").add(text, "string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -185,8 +188,7 @@ def remove_repeats(docs: DataFrame, window: int = 13, text: str = "kept") -> Dat
             columns += [pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(texts, pa.string())]
             yield pa.RecordBatch.from_arrays(columns, [*kept, "n_words", "n_removed", text])
 
-    rows = docs.select(*kept).join(lists.withColumnRenamed("keys", "__keys"), "doc_id", "left")
-    return rows.select(*kept, "__keys").mapInArrow(run, schema)
+    return _with_keys(docs, lists).mapInArrow(run, schema)
 
 
 def _joined(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> str:
