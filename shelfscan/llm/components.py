@@ -30,4 +30,6 @@ def components(links: DataFrame) -> DataFrame:
         if total == mark:
             break
         mark = total
-    return edges.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("root"))
+    # every edge hangs a node below its root; roots stand for themselves
+    nodes = edges.select(F.col("u").alias("node"), F.col("v").alias("root")).union(edges.select("v", "v"))
+    return nodes.groupBy("node").agg(F.min("root").alias("root"))

@@ -206,7 +206,7 @@ def identify(
     table = prototypes.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("place", "weight"))).alias("v"))
     learned = sorted(table.select("lang", F.col("v.weight").alias("w")).collect())
     names = np.array([r["lang"] for r in learned], dtype=object)
-    matrix = np.array([r["w"] for r in learned], dtype=float).reshape(len(learned), -1)
+    matrix = np.array([r["w"] for r in learned], dtype=float).reshape(len(learned), dim)
     norms = np.linalg.norm(matrix, axis=1, keepdims=True)
     matrix = np.divide(matrix, norms, out=np.zeros_like(matrix), where=norms > 0)
     kept = [c for c in docs.columns if c not in (lang_pred, score)]
