@@ -17,7 +17,8 @@ that make up for it, the keys of all subsets with one element deleted, which fin
 segments that differ by one.
 
 Pairs. Sets that are equal are one node. In every bucket of a key each node is
-first paired with the least one only; the pairs that hold are joined into
+first paired with one centre only, the first in one of a few orders of all nodes, so
+that a large group meets several centres; the pairs that hold are joined into
 components. Then all pairs of a bucket whose components still differ are looked at,
 for the keys that are not left out. Pairs whose bitmaps of elements differ by too much can't be linked and
 go; the rest is verified on the sets themselves. No pair between different
@@ -45,6 +46,9 @@ from shelfscan.llm.words import Words, blocks, mix, runs, words_of
 #: Words of a shingle; similarity in percent.
 SHINGLE, PERCENT = 5, 80
 
+#: Orders of nodes by which buckets choose their centres.
+CENTRES = 4
+
 #: Rows handed to Python at once.
 BATCH = 1000
 
@@ -71,7 +75,7 @@ def segments(starts: np.ndarray, group: np.ndarray, percent: int) -> tuple[np.nd
     low = starts[group + 1] - 1
     # the sizes of a pair add up to at most low and low / t
     differ = (100 - percent) * (low + low * 100 // percent) // (100 + percent)
-    spare = 2 + (differ + 1) // 8
+    spare = 2 + (differ + 1) // 4
     return differ + 1 + spare, spare
 
 
@@ -309,10 +313,14 @@ def _near_duplicates(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
 
     keys = keys_of(texts, shingle, percent).repartition("key").distinct()
     same = Window.partitionBy("key")
-    buckets = keys.withColumns({"least": F.min("node").over(same), "most": F.max("node").over(same)})
-    buckets = written(buckets.filter("least < most").drop("most"), "buckets")
-
-    stars = buckets.filter("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct()
+    order = F.xxhash64("node", F.pmod(F.col("key"), F.lit(CENTRES)))
+    buckets = keys.withColumns({
+        "least": F.min("node").over(same), "most": F.max("node").over(same), "centre": F.min_by("node", order).over(same),
+    })
+    buckets = written(buckets.filter("least < most").drop("least", "most"), "buckets")
+
+    ends = [f("centre", "node") for f in (F.least, F.greatest)]
+    stars = buckets.filter("node <> centre").select(ends[0].alias("a"), ends[1].alias("b")).distinct()
     links = _verified(texts, nodes, stars, shingle, percent)
     roots = checkpointed(components(links))
 
