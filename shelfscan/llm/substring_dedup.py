@@ -11,9 +11,11 @@ stands. At the next lengths a window is represented by the run of that length
 inside it which begins or ends with its first run. So a level sends a row for
 some of its runs, not for each, and a window is lost at no level.
 
-A level is a count by run (summed before it is sent), a join of the runs found in
-more than one text with the runs of each text, and a list of them per text, which
-is as long as the text at most. Texts are dealt by id once; every level and the
+A level sends each run of a text once, by its hash, finds the least and largest id
+that have it, and makes a list per text of the runs that more than one text has; the
+list is as long as the text at most. A run has one row for each text that has it, so
+a passage in a third of all texts is a third of a row for each text in one task,
+which spills; its runs go to different tasks. Texts are dealt by id once; every level and the
 removal read that same exchange.
 
 Runs are compared by 64-bit hashes of their words' bytes.
@@ -30,7 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from shelfscan.llm.tables import checkpointed
 from shelfscan.llm.words import Words, blocks, runs, words_of
@@ -123,11 +125,9 @@ def _emitter(level: int, window: int):
 
 def _lists(rows: DataFrame, last: bool) -> DataFrame:
     """(doc_id, keys): the runs of each text that more than one text has; at the last level, a smaller id."""
-    ends = rows.groupBy("key").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
-    shared = ends.filter("least < most").select("key", "least")
-    found = rows.join(shared, "key")
-    if last:
-        found = found.filter("doc_id > least")
+    same = Window.partitionBy("key")
+    ends = rows.withColumns({"least": F.min("doc_id").over(same), "most": F.max("doc_id").over(same)})
+    found = ends.filter("doc_id > least" if last else "least < most")
     return found.groupBy("doc_id").agg(F.collect_set("key").alias("keys"))
 
 
