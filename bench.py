@@ -19,7 +19,7 @@ import time
 from shelfscan import schemas, spark_session
 from shelfscan.operators import upsert
 from shelfscan.plans import reports
-from shelfscan.plans.ingest import ingest
+from shelfscan.plans.ingest import ingest, merge_into_raw
 from shelfscan.plans.mart import build_mart
 from shelfscan.plans.quality import run_checks
 from shelfscan.plans.staging import CLUSTER_BY, PARTITION_BY, build_staging
@@ -87,6 +87,11 @@ def main() -> None:
         delta = ingest(read_products(spark, updates))
         consume(upsert(ingest(source), delta, ["code"], "last_modified_t"))
 
+    def load(path: str) -> None:
+        """The production load: bucketed read, merge, write, cursor."""
+        merge_into_raw(spark, ingest(read_products(spark, path)), f"{work}/tables", "bench")
+
+    load(export)
     build(staged)
     stg = read_table(spark, staged, schemas.STAGING)
 
@@ -96,6 +101,7 @@ def main() -> None:
     jobs = {
         "ingest": lambda: consume(ingest(source)),
         "upsert_raw": merge,
+        "merge_into_raw": lambda: load(updates),
         "stg_products": lambda: build(f"{work}/rebuilt"),
         "mart_deceptive_by_category": on_staging(build_mart),
         "dq_report": on_staging(lambda stg: run_checks(stg, build_mart(stg))),
