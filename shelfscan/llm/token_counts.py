@@ -7,7 +7,10 @@ the link leads to the node for what is left once the pieces that are then settle
 are cut off, and the number of those pieces is known beforehand. One step for each
 byte of a word gives its count; pieces are never built.
 
-A word that can't be cut into pieces counts as one unknown token. Words are what
+Words are begun by the tokens that begin with a space, and by every single byte that
+is a token: a byte-complete file cuts every word. Single bytes change no word that
+another piece can begin. With other files, a word that can't be cut into pieces counts
+as one unknown token. Words are what
 stands between the six white-space characters of ASCII. Defined results: a null or
 empty text has no words and no tokens.
 """
@@ -87,10 +90,11 @@ _COUNTERS: dict[str, Memo] = {}
 
 
 def pieces_of(path: str) -> tuple[list[bytes], list[bytes]]:
-    """Pieces of a rank file: those after a space begin words, those without white space go on."""
+    """Pieces of a rank file: those after a space and single bytes begin words, those without white space go on."""
     tokens = load_ranks(path)
     first = [t[1:] for t in tokens if t[:1] == b" " and not re.search(rb"[\x20\x09-\x0D]", t[1:])]
-    return first, [t for t in tokens if not re.search(rb"[\x20\x09-\x0D]", t)]
+    further = [t for t in tokens if not re.search(rb"[\x20\x09-\x0D]", t)]
+    return first + [t for t in further if len(t) == 1], further
 
 
 def _counter(path: str) -> Memo:

@@ -160,6 +160,20 @@ def test_counts_of_documents(docs, odd, none, texts):
     assert token_counts.count_tokens(none, RANKS).count() == 0
 
 
+def test_words_of_any_script_are_cut(spark):
+    tokens = bpe.load_ranks(RANKS)
+    single = {bytes([i]) for i in range(256)}
+    assert single <= set(tokens)
+    first = {t[1:] for t in tokens if t[:1] == b" "} | single
+    body = ["한국어 문장", "ภาษาไทยไม่มีช่องว่าง", "中国人民", "漢字", "plain words"]
+    df = spark.createDataFrame(list(enumerate(body)), "doc_id bigint, text string")
+    got = {r.doc_id: (r.n_words, r.n_tokens) for r in token_counts.count_tokens(df, RANKS).collect()}
+    for i, text in enumerate(body):
+        n = [longest_match(w.encode(), first, set(tokens)) for w in words(text)]
+        assert got[i] == (len(n), sum(n))
+    assert all(got[i][1] > got[i][0] for i in range(4))
+
+
 # packing
 
 
