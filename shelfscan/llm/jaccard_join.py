@@ -28,7 +28,9 @@ Elements and nodes are compared by 64-bit hashes.
 
 Defined results: null texts and texts without words have no shingle and no link;
 fewer words than a shingle has make one element. Rows with the same id and different
-texts are nodes of their own; each gets its own row.
+texts are nodes of their own; each gets its own row. Rows without an id are linked by
+their texts as others are; a component's id is the least one that any of its rows has,
+and null where none has one.
 """
 
 from __future__ import annotations
@@ -231,8 +233,9 @@ def keys_of(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) ->
 
 def _needed_filter(needed: DataFrame) -> np.ndarray:
     """A bit for each id modulo ``FILTER_BITS``; of fixed size."""
-    place = F.pmod(F.col("doc_id"), F.lit(FILTER_BITS))
-    words = needed.select(F.floor(place / 64).alias("word"), F.expr("shiftleft(1L, int(pmod(doc_id, 64)))").alias("bit"))
+    known = F.coalesce("doc_id", F.lit(0))  # as in may_be_needed
+    place, bit = F.pmod(known, F.lit(FILTER_BITS)), F.pmod(known, F.lit(64)).cast("int")
+    words = needed.select(F.floor(place / 64).alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), bit).alias("bit"))
     found = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).collect()
     out = np.zeros(FILTER_BITS // 64, np.int64)
     out[[r["word"] for r in found]] = [r["bits"] for r in found]
@@ -280,7 +283,9 @@ def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, shingle: int,
 
     texts = docs.select("doc_id", "text").mapInArrow(may_be_needed, "doc_id bigint, text string")
     sets = texts.mapInArrow(_each(shingle, make), "doc_id bigint, node bigint, elements binary")
-    sets = sets.join(needed, ["doc_id", "node"]).dropDuplicates(["node"]).select("node", "elements")
+    wanted = needed.select(F.col("doc_id").alias("wanted_id"), F.col("node").alias("wanted"))
+    found = (F.col("node") == F.col("wanted")) & F.col("doc_id").eqNullSafe(F.col("wanted_id"))
+    sets = sets.join(wanted, found).dropDuplicates(["node"]).select("node", "elements")
     with_a = likely.select("node_a", "node_b").join(
         sets.select(F.col("node").alias("node_a"), F.col("elements").alias("e_a")), "node_a"
     )
@@ -308,8 +313,11 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
 def _near_duplicates(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     texts = docs.select("doc_id", "text")
     rows = written(documents_of(texts, shingle, percent), "sets")
-    first = F.struct("doc_id", "n_shingles", "bits", "empty_0", "empty_1", "spare_0", "spare_1")
-    nodes = rows.filter("n_shingles > 0").groupBy("node").agg(F.min(first).alias("x")).select("node", "x.*")
+    # a row with an id stands for its node where there is one
+    first = F.struct(
+        F.col("doc_id").isNull().alias("no_id"), "doc_id", "n_shingles", "bits", "empty_0", "empty_1", "spare_0", "spare_1"
+    )
+    nodes = rows.filter("n_shingles > 0").groupBy("node").agg(F.min(first).alias("x")).select("node", "x.*").drop("no_id")
 
     keys = keys_of(texts, shingle, percent).repartition("key").distinct()
     same = Window.partitionBy("key")

@@ -322,6 +322,19 @@ def test_classes_of_odd_rows(odd, none):
     assert jaccard_join.near_duplicates(none).count() == 0
 
 
+def test_rows_without_an_id_are_linked(spark):
+    base = [f"w{i}" for i in range(60)]
+    near, other = [*base[:-1], "z"], [f"v{i}" for i in range(60)]
+    bodies = [
+        (None, base), (7, base), (5, near), (-3, [*base[:-1], "y"]), (None, other), (None, [*other[:-1], "z"]),
+        (None, [*other[:-1], "z"]), (9, ["alone"] * 9), (None, None),
+    ]
+    df = spark.createDataFrame([(i, w and " ".join(w)) for i, w in bodies], "doc_id bigint, text string")
+    got = [(r.doc_id, r.n_shingles, r.component_id) for r in jaccard_join.near_duplicates(df).collect()]
+    expected = [(i, 56, -3) for i in (None, 7, 5, -3)] + [(None, 56, None)] * 3 + [(9, 1, 9), (None, 0, None)]
+    assert sorted(got, key=repr) == sorted(expected, key=repr)
+
+
 def test_components_of_chains(spark):
     chain = [(i, i + 1) for i in range(40)] + [(100, 7), (200, 201), (201, 200), (5, 5)]
     got = {r.node: r.root for r in components(spark.createDataFrame(chain, "a bigint, b bigint")).collect()}
