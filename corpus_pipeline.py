@@ -5,8 +5,11 @@ read again as the next one's docs. A stage works on all that the one before kept
 all but the last return the columns of documents.
 
 Defined results: null texts have no language and go in the first stage, as do
-texts without a letter. Rows that share an id are one document from the third stage
-on; an empty table gives an empty result.
+texts without a letter. Rows that share an id but not a text are documents of their
+own, and the third stage keeps the least (id, hash of the text) of each component of
+near duplicates; rows equal in all columns are one. Rows without an id are documents
+of their own in every stage: nothing is their duplicate. An empty table gives an
+empty result.
 """
 
 from __future__ import annotations
@@ -41,10 +44,17 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def near_duplicate_groups(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of least id of every group of near duplicates."""
-    classes = near_duplicates(docs)
-    first = classes.filter("doc_id = component_id").select("doc_id")
-    return docs.select(*COLUMNS).join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    """One document, the least by id and text, of every group of near duplicates; all rows without an id."""
+    docs = docs.select(*COLUMNS)
+    nulls = [F.col(c).isNull() for c in COLUMNS]  # a hash passes over nulls
+    rows = docs.filter("doc_id IS NOT NULL").withColumn("__row", F.xxhash64(*COLUMNS, *nulls))
+    classes = near_duplicates(rows.select(F.col("__row").alias("doc_id"), "text"))
+    classes = classes.select(F.col("doc_id").alias("__row"), "component_id").distinct()
+    order = F.struct("doc_id", F.xxhash64("text").alias("hash"), "__row").alias("order")
+    least = rows.select("__row", order).join(classes, "__row").groupBy("component_id").agg(F.min("order").alias("order"))
+    first = least.select(F.col("order.__row").alias("__row"))
+    kept = rows.join(first, "__row", "left_semi").dropDuplicates(["__row"]).select(*COLUMNS)
+    return kept.unionByName(docs.filter("doc_id IS NULL"))
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -58,6 +58,24 @@ def test_stages(spark, sf_dir, tmp_path):
     assert {r.doc_id for r in packed.collect()} == {r.doc_id for r in docs.collect()}
 
 
+def test_one_row_of_each_group_is_kept(spark):
+    base, other, third = ([f"{c}{i}" for i in range(60)] for c in "abc")
+    text = " ".join
+    near = text([*base[:-1], "z"])
+    rows = [
+        (1, text(base), "en", "s", 1), (1, text(base), "en", "s", 1), (1, text(base), None, "s", 1), (2, near, "en", "s", 1),
+        (2, text(other), "en", "s", 1), (3, near, "en", "s", 1), (4, text(third), "en", "s", 1), (4, text([*third[1:], "z"]), "en", "s", 1),
+        (None, text(base), "en", "s", 1), (None, "only here", "en", "s", 1), (None, "only here", "en", "s", 1),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    got = [[(r.doc_id, r.text) for r in corpus_pipeline.near_duplicate_groups(spark, d, "").collect()] for d in (docs, docs.repartition(7))]
+    assert sorted(got[0], key=repr) == sorted(got[1], key=repr)
+    fourth = {t for i, t in got[0] if i == 4}
+    assert len(fourth) == 1 and fourth <= {rows[6][1], rows[7][1]}
+    expected = [(1, text(base)), (2, text(other)), (None, text(base)), *[(None, "only here")] * 2]
+    assert sorted((r for r in got[0] if r[0] != 4), key=repr) == sorted(expected, key=repr)
+
+
 def test_an_empty_table_goes_through(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
