@@ -62,6 +62,20 @@ def test_article_without_the_rest():
     assert wrapper.main_text(page) == "Head & line\nOne two bold\nNext one\nx\ny"
 
 
+def test_names_never_drop_the_article():
+    body = "<h1>Head</h1><p>All of the story is told here</p>"
+    rest = '<div class="ad">Buy</div><div id="cookie-notice">We use cookies</div>'
+    for page in (
+        '<div class="content no-sidebar"><article>{}</article></div>', '<div id="page" class="has-sidebar">{}</div>',
+        '<article class="post comments-open">{}</article>', '<article id="notice-of-meeting">{}</article>',
+        '<article class="notice">{}</article>', '<div class="widget"><main>{}</main></div>', '<div class="sidebar">{}</div>',
+        '<main><div class="notice">{}</div></main>', '<form id="aspnetForm" action="/"><div>{}</div></form>', '<form>{}</form>',
+        '<main><article class="post">{}<article class="comment">nice</article></article></main>',
+    ):
+        html = f"<html><body class=search>{rest}{page.format(body)}</body></html>"
+        assert wrapper.main_text(html) == "Head\nAll of the story is told here", page
+
+
 def test_odd_pages_have_a_text():
     for page in (None, "", "plain", "<", "<p", "</p></p>", "<!-- open", "<script>x", "<p>a<p>b", "<![CDATA[x]]>y", "&#0;&bogus;"):
         assert isinstance(wrapper.main_text(page), str)
