@@ -76,6 +76,36 @@ def test_names_never_drop_the_article():
         assert wrapper.main_text(html) == "Head\nAll of the story is told here", page
 
 
+def test_copies_are_no_template(spark):
+    plain = "<body><div>Welcome</div><article><h1>H {0}</h1><p>Text {0}</p></article></body>"
+    copy = "<body><div>Welcome</div><article><h1>One</h1><p>Two</p><blockquote>Three</blockquote><p>Four</p></article></body>"
+    story = "<article><h1>Head</h1><p>The whole story</p><div>Seen {0} times</div></article>"
+    bare = "<body><h1>Head</h1><div>{1}</div><h2>Seen {0}</h2></body>"
+    long = "The whole story. " * 30
+    rows = [*(("a", plain.format(i)) for i in range(9)), *[("a", copy)] * 5, *(("b", story.format(i)) for i in range(5))]
+    rows += [*(("c", bare.format(i, long)) for i in range(5)), *[("d", copy.replace("article", "div"))] * 4]
+    rows += [("d", "<body><div>Welcome</div><p>Lone</p></body>")]
+    rows = [(i, f"http://{h}.example/", page) for i, (h, page) in enumerate(rows)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(5)
+    got = {r.page_id: r.text for r in wrapper.extract(pages, wrapper.induce(pages)).collect()}
+    whole = [f"H {i}\nText {i}" for i in range(9)] + ["One\nTwo\nThree\nFour"] * 5
+    whole += [f"Head\nThe whole story\nSeen {i} times" for i in range(5)] + [f"Head\n{long.strip()}\nSeen {i}" for i in range(5)]
+    whole += ["Welcome\nOne\nTwo\nThree\nFour"] * 4 + ["Welcome\nLone"]
+    assert [got[i] for i in range(len(rows))] == whole
+
+
+def test_samples_of_pages_do_not_depend_on_the_order():
+    trees = [wrapper._fold(wrapper.parse(f"<body><div>Same</div><p>{i % 150}</p>{'<h2>x</h2>' * (i % 5 == 0)}</body>")) for i in range(300)]
+    found = []
+    for part in (trees, trees[::-1]):
+        out = wrapper._slots(part[0])
+        for tree in part[1:]:
+            out = wrapper._joined(out, wrapper._slots(tree, wrapper._most(out)))
+        found.append(out)
+    least = sorted({wrapper._page(t) for t in trees})[: wrapper.SAMPLE]
+    assert found[0] == found[1] and found[0][2] == least
+
+
 def test_odd_pages_have_a_text():
     for page in (None, "", "plain", "<", "<p", "</p></p>", "<!-- open", "<script>x", "<p>a<p>b", "<![CDATA[x]]>y", "&#0;&bogus;"):
         assert isinstance(wrapper.main_text(page), str)
