@@ -9,18 +9,27 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the cluster names; on one machine, where it may be unset, one in the warehouse."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    return f"{spark.conf.get('spark.sql.warehouse.dir')}/_intermediate"
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """``df``, computed and written to the shared checkpoint folder."""
     context = df.sparkSession.sparkContext
     if not context.getCheckpointDir():
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", "checkpoints"))
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder, so that its size is known to the planner."""
-    folder = df.sparkSession.conf.get("spark.checkpoint.dir", "checkpoints")
-    path = f"{folder}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -82,7 +82,8 @@ def blocks(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]
         at = end
 
 
-def words_of(data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> Words:
+def places_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, ends, text, first) of the words, as in :class:`Words`."""
     n = len(offsets) - 1
     inside = ~_SPACE[data]
     begins, stops = inside.copy(), inside.copy()
@@ -94,11 +95,16 @@ def words_of(data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> Word
     stops[cuts - 1] = inside[cuts - 1]
     starts, ends = np.flatnonzero(begins), np.flatnonzero(stops) + 1
     text = np.searchsorted(offsets, starts, "right") - 1
+    return starts, ends, text, np.searchsorted(text, np.arange(n + 1))
+
+
+def words_of(data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> Words:
+    starts, ends, text, first = places_of(data, offsets)
     up, down = _powers(len(data) + 1)
     sums = np.zeros(len(data) + 1, _U)
     np.cumsum((_LOWER if lower else _BYTES)[data] * up[:-1], out=sums[1:])
     hashes = mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(_U))
-    return Words(data, starts, ends, text, hashes, np.searchsorted(text, np.arange(n + 1)))
+    return Words(data, starts, ends, text, hashes, first)
 
 
 def runs(words: Words, length: int) -> tuple[np.ndarray, np.ndarray]:
