@@ -1,0 +1,278 @@
+"""Ranked search, hard negatives and fingerprints against SQL and brute force."""
+
+from __future__ import annotations
+
+import math
+import random
+import re
+from collections import Counter, defaultdict
+
+import duckdb
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from shelfscan.llm import hard_negatives, queries, ranked_search, simhash
+from shelfscan.llm.components import components
+from shelfscan.llm.topk import scaled_floor
+
+TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+ODD = [None, "", " \n\t", "a", "a", "A-b_c", "Ünï ÜNÏ 漢字 🎉", "  two  spaces ", "x " * 20_000, "1234 $$$ ###", "\x85b", "the cat the hat"]
+
+
+@pytest.mark.parametrize("name", ["op11_ranked_search", "op12_hard_negatives"])
+def test_query_equals_its_sql(spark, sf_dir, name):
+    connection = duckdb.connect()
+    for table in ("documents", "benchmark", "embeddings"):
+        connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf_dir}/{table}.parquet'")
+    got = queries.queries()[name](spark, sf_dir)
+    expected = connection.execute(f"SELECT {', '.join(got.columns)} FROM ({queries.oracle_sql()[name]})").fetchall()
+    assert expected and sorted(tuple(r) for r in got.collect()) == sorted(expected)
+
+
+# ranked search
+
+
+def lowered(text):
+    return "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+
+
+def ranked(docs, items, k=10):
+    """By definition: rows are (id, text)."""
+    counts = [(i, Counter(TERM.findall(lowered(t)))) for i, t in docs]
+    counts = [(i, c) for i, c in counts if c]
+    n, total = len(counts), sum(c.total() for _, c in counts)
+    df = Counter(t for _, c in counts for t in c)
+    out = []
+    for item, text in set(items):
+        found = []
+        for i, c in counts:
+            m = 10 + 90 * c.total() * n // total
+            score = 0
+            for t in set(TERM.findall(lowered(text))) & c.keys():
+                score += math.floor(1000 * math.log((2 * n + 2) / (2 * df[t] + 1))) * (10**9 * c[t] // (1000 * c[t] + 8 * m))
+            if score and i is not None:
+                found.append((-score, i))
+        out += [(item, rank, i, -s) for rank, (s, i) in enumerate(sorted(found)[:k], 1)]
+    return sorted(out, key=repr)
+
+
+def searched(spark, docs, items, k=10):
+    d = spark.createDataFrame([(*r, "x", 1) for r in docs], "doc_id bigint, text string, item_id string, score int").repartition(3)
+    i = spark.createDataFrame([(*r, 2.0) for r in items], "item_id bigint, text string, doc_id double")
+    got = ranked_search.search(d, i, k).select("item_id", "rank", "doc_id", "score").collect()
+    return sorted((tuple(r) for r in got), key=repr)
+
+
+def test_search_by_definition(spark):
+    rng = random.Random(1)
+    vocabulary = [f"w{i}" for i in range(40)]
+    say = lambda n: " ".join(rng.choices(vocabulary, [1 / (1 + i) for i in range(40)], k=n))
+    docs = [(i, say(rng.randint(1, 40))) for i in range(300)]
+    docs += [(300 + i, t) for i, t in enumerate(ODD)] + [(None, "cat w3 w3"), (7, "cat w1"), (8, docs[8][1]), (8, docs[8][1])]
+    docs += [(1000 + i, "same text w9") for i in range(30)]  # ties beyond the k-th place
+    items = [(i, say(rng.randint(1, 12))) for i in range(20)] + [(50 + i, t) for i, t in enumerate(ODD)]
+    items += [(1, "same text"), (1, "same text"), (None, "w9 w9 THE Cat"), (99, "nowhere")]
+    assert searched(spark, docs, items) == ranked(docs, items)
+    assert searched(spark, docs, items, 3) == ranked(docs, items, 3)
+
+
+def test_search_of_nothing(spark):
+    assert searched(spark, [], [(1, "a")]) == searched(spark, [(1, "a")], []) == searched(spark, [(1, None)], [(1, "a")]) == []
+
+
+def test_shards_give_what_one_index_gives(spark, monkeypatch):
+    docs = [(i, " ".join(f"w{(i * j) % 17}" for j in range(1, 9))) for i in range(200)]
+    items = [(i, f"w{i} w{i + 1} w3") for i in range(10)]
+    whole = searched(spark, docs, items)
+    monkeypatch.setattr(ranked_search, "DOCUMENTS", 11)
+    monkeypatch.setattr(ranked_search, "TERMS", 4)
+    assert searched(spark, docs, items) == whole == ranked(docs, items)
+
+
+def lists_of(impacts):
+    """As ``Lists.of`` gives them, from document to impact."""
+    out = []
+    for x in impacts:
+        places = np.array(sorted(x), np.int32)
+        values = np.array([x[p] for p in places.tolist()], np.int64)
+        order = np.argsort(-values, kind="stable")
+        positions = np.empty(len(order), np.int64)
+        positions[order] = np.arange(len(order))
+        out.append((places[order], values[order], places, positions))
+    return out
+
+
+def test_best_positions_find_the_best_and_stop_early():
+    rng = random.Random(2)
+    for case in range(200):
+        n = rng.choice([1, 5, 60, 400])
+        impacts = [{d: rng.randint(0, rng.choice([2, 1000])) for d in rng.sample(range(n), rng.randint(0, n))} for _ in range(rng.randint(0, 5))]
+        weights = [rng.randint(0, 9) for _ in impacts]
+        total = Counter()
+        for x, w in zip(impacts, weights, strict=True):
+            total.update({d: w * v for d, v in x.items()})
+        ids = np.array(rng.sample(range(10 * n), n))
+        expected = sorted((-s, ids[d]) for d, s in total.items() if s)[:7]
+        found, scores, _ = ranked_search.best_positions(lists_of(impacts), weights, ids, 7)
+        assert list(zip((-scores).tolist(), ids[found].tolist(), strict=True)) == expected, case
+    # one document far ahead on every list: the rest is not read
+    far = [{d: 10 if d > 20 else 1000 for d in range(5000)} for _ in range(3)]
+    found, _, read = ranked_search.best_positions(lists_of(far), [1, 1, 1], np.arange(5000), 10)
+    assert found.tolist() == list(range(10)) and read < 500
+
+
+# hard negatives
+
+
+def mined(rows, anchors, positives=5, negatives=10):
+    """By definition: rows are (id, label, vector)."""
+    fits = lambda r: None not in r and all(x is not None and math.isfinite(x) for x in r[2])
+    whole = lambda r: (r[0], r[1], tuple(math.floor(256 * x) for x in r[2]))
+    rows, anchors = ([whole(r) for r in x if fits(r)] for x in (rows, anchors))
+    out = []
+    for i, label, v in set(anchors):
+        scored = sorted((-sum(a * b for a, b in zip(v, w, strict=False)), j, other) for j, other, w in rows if j != i)
+        same = [(-s, j) for s, j, other in scored if other == label][:positives]
+        for p, positive in same:
+            window = [(-s, j) for s, j, other in scored if other != label and 30 * p <= -100 * s <= 90 * p]
+            out += [(i, positive, rank, j, p, n) for rank, (n, j) in enumerate(window[:negatives], 1)]
+    return sorted(out)
+
+
+def mine(spark, rows, anchors, **options):
+    schema = "vec_id bigint, label int, embedding array<double>, rank string"
+    frames = [scaled_floor(spark.createDataFrame([(*r, "x") for r in x], schema)) for x in (rows, anchors)]
+    names = ["anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"]
+    return sorted(tuple(r) for r in hard_negatives.mine(*frames, **options).select(*names).collect())
+
+
+def test_mining_by_definition(spark, monkeypatch):
+    rng = random.Random(3)
+    vector = lambda n=6: [rng.choice([rng.uniform(-1, 1), 0.5]) for _ in range(n)]
+    rows = [(i, rng.choice([0, 0, 0, 1, 2]), vector()) for i in range(300)]
+    rows += [(400, 0, vector(4)), (401, 1, []), (402, 5, vector()), (None, 1, vector()), (403, None, vector()), (404, 1, None)]
+    rows += [(405, 1, [None] * 6), (406, 1, [float("nan")] * 6), (407, 0, [float("inf")] * 6), rows[5], rows[6]]
+    rows += [(7, 1, vector()), (500, 0, rows[0][2]), (501, 1, rows[0][2]), (502, 1, rows[0][2])]
+    anchors = [r for r in rows if r[0] is None or r[0] % 10 == 0 or r[0] > 399] + [rows[0]]
+    expected = mined(rows, anchors)
+    assert len(expected) > 100 and mine(spark, rows, anchors) == expected
+    monkeypatch.setattr(hard_negatives, "ROWS", 13)
+    monkeypatch.setattr(hard_negatives, "ANCHORS", 4)
+    assert mine(spark, rows, anchors, positives=2, negatives=3) == mined(rows, anchors, 2, 3)
+
+
+def test_mining_of_nothing(spark):
+    row = (1, 0, [0.5])
+    assert mine(spark, [], [row]) == mine(spark, [row], []) == mine(spark, [row], [row]) == []
+
+
+def test_residues_give_exact_scores():
+    rng = np.random.default_rng(4)
+    for most, width in ((300, 64), (3, 1), (1 << 20, 2500), (200, 0)):
+        a, b = (rng.integers(-most, most + 1, (n, width)) for n in (7, 9))
+        got = hard_negatives.scores(hard_negatives.Residues(a), hard_negatives.Residues(b))
+        assert got.tolist() == [[sum(x * y for x, y in zip(p, q, strict=True)) for q in b.tolist()] for p in a.tolist()]
+    far = hard_negatives.Residues(np.full((1, 2), 1 << 40))
+    with pytest.raises(OverflowError):
+        hard_negatives.scores(far, far)
+
+
+# fingerprints
+
+
+def fingerprint(text):
+    words = WORD.findall(lowered(text))
+    parts = [" ".join(words[i : i + 3]) for i in range(len(words) - 2)] if len(words) > 2 else [" ".join(words)] * bool(words)
+    hashes = [xxhash.xxh64_intdigest(p.encode(), 42) for p in parts]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def least_of(numbers, linked):
+    """Least index that each index is joined with."""
+    root = list(range(len(numbers)))
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(numbers)):
+        for j in range(i):
+            if linked(numbers[i], numbers[j]):
+                a, b = sorted((top(i), top(j)))
+                root[b] = a
+    return [top(i) for i in range(len(numbers))]
+
+
+def test_fingerprints_by_definition(spark):
+    rng = random.Random(5)
+    base = [f"Wort{rng.randint(0, 99)}" for _ in range(300)]
+    texts = [*ODD, " ".join(base), " ".join([*base[:-1], "other"]), " ".join(["other", *base[1:]]), "\n".join(base), "A a", "a A"]
+    rows = [(3 * i, t, "x", 1) for i, t in enumerate(texts)] + [(None, " ".join(base), "y", 1), (0, "a", "y", 1), (0, "a", "y", 1)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, fingerprint string, component_id int").repartition(4)
+    got = Counter(tuple(r) for r in simhash.near_duplicates(docs).collect())
+    prints = [fingerprint(r[1]) for r in rows]
+    roots, least = least_of(prints, lambda a, b: (a ^ b).bit_count() <= 2), {}
+    for root, row in zip(roots, rows, strict=True):
+        least[root] = min((i for i in (least.get(root), row[0]) if i is not None), default=None)
+    assert got == Counter((r[0], f"{p:016x}", least[root]) for r, p, root in zip(rows, prints, roots, strict=True))
+    assert prints[12] == prints[15] and prints[0] == 0
+
+
+def test_fingerprints_in_pieces(monkeypatch):
+    texts = ["a b c d e f g h", None, "a b", "x " * 50, "one two three"]
+    raw = [(t or "").encode() for t in texts]
+    data, offsets = np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)])
+    monkeypatch.setattr(simhash, "PIECE", 3)
+    assert [x % (1 << 64) for x in simhash.fingerprints_of(data, offsets).tolist()] == [fingerprint(t) for t in texts]
+
+
+@pytest.mark.parametrize("small", [simhash.SMALL, 1])
+def test_links_join_what_is_near(spark, monkeypatch, small):
+    monkeypatch.setattr(simhash, "SMALL", small)
+    rng = random.Random(6)
+    numbers = set()
+    for _ in range(6):  # groups of near numbers, and chains of them
+        centre = rng.getrandbits(64)
+        for _ in range(60):
+            numbers.add(centre ^ sum(1 << b for b in rng.sample(range(64), rng.randint(0, 3))))
+            if rng.random() < 0.2:
+                centre ^= 1 << rng.randrange(64)
+    numbers = sorted(numbers | {0, 1, (1 << 64) - 1} | {rng.getrandbits(64) for _ in range(50)})
+    signed = [x - (1 << 64) if x >> 63 else x for x in numbers]
+    classes = spark.createDataFrame([(x,) for x in signed], "fingerprint bigint")
+    links = simhash.links_of(classes)
+    assert all(((r.a ^ r.b) % (1 << 64)).bit_count() <= 2 for r in links.collect())
+    got = {r.node: r.root for r in components(links).collect()}
+    roots, groups = least_of(numbers, lambda a, b: (a ^ b).bit_count() <= 2), defaultdict(set)
+    for x, root in zip(signed, roots, strict=True):
+        groups[root].add(got.get(x, x))
+    assert all(len(g) == 1 for g in groups.values()) and len(set.union(*groups.values())) == len(groups)
+
+
+def test_an_unknown_distance_is_refused(spark):
+    with pytest.raises(ValueError):
+        simhash.links_of(spark.createDataFrame([(1,)], "fingerprint bigint"), 1)
+
+
+def test_fingerprints_of_nothing(spark):
+    docs = spark.createDataFrame([], "doc_id bigint, text string")
+    got = simhash.near_duplicates(docs)
+    assert got.count() == 0 and got.columns == ["doc_id", "fingerprint", "component_id"]
+
+
+def test_no_pairs_of_a_large_group(spark):
+    """A third of all rows is one text, another third near copies: links grow with the rows."""
+    copies = spark.range(3000).select(
+        F.col("id").alias("doc_id"),
+        F.when(F.col("id") % 3 == 0, F.lit("one two three four five"))
+        .when(F.col("id") % 3 == 1, F.concat(F.lit(" ".join(f"w{i}" for i in range(400)) + " "), "id"))
+        .otherwise(F.concat(F.lit("text "), "id", F.lit(" of its own "), F.col("id") * 7)).alias("text"),
+    )
+    classes = simhash.fingerprints(copies).groupBy("fingerprint").agg(F.min("doc_id"))
+    assert simhash.links_of(classes).count() < 33 * len(simhash._masks(2)) * 1000
+    got = simhash.near_duplicates(copies).groupBy("component_id").count().orderBy(F.desc("count")).first()
+    assert got["count"] >= 1000
