@@ -52,16 +52,8 @@ def composed_letters() -> tuple[tuple[str, str], ...]:
     return _tables()[2]
 
 
-def strip_accents_sql(text: str) -> str:
-    """:func:`strip_accents` as SQL over an expression."""
-    replaced, plain = accent_table()
-    several = composed_letters()
-    out = f"translate({text}, '{replaced}', '{plain}')"
-    for letter, letters in several:
-        out = f"replace({out}, '{letter}', '{letters}')"
-    some = "".join(letter for letter, _ in several)
-    plainly = f"translate({text}, '{replaced}', '{plain}')"
-    out = f"CASE WHEN {text} RLIKE '[{some}]' THEN {out} ELSE {plainly} END"
+def _spelling(stripped: str) -> str:
+    """SQL: ``stripped`` with syllables and composed letters spelt out, character by character."""
     place = f"(ascii(c) - {_SYLLABLES[0]})"
     jamo = (
         f"concat(substring('{_LEADS}', CAST({place} DIV 588 AS INT) + 1, 1), "
@@ -69,38 +61,45 @@ def strip_accents_sql(text: str) -> str:
         f"if({place} % 28 = 0, '', substring('{_TAILS}', CAST({place} % 28 AS INT), 1)))"
     )
     first, last = map(chr, _SYLLABLES)
-    spelt = f"array_join(transform(split({out}, ''), c -> if(c BETWEEN '{first}' AND '{last}', {jamo}, c)), '')"
-    out = f"CASE WHEN {text} RLIKE '[{first}-{last}]' THEN {spelt} ELSE {out} END"
-    return f"CASE WHEN octet_length({text}) = char_length({text}) THEN {text} ELSE {out} END"
+    letters = ", ".join(f"'{letter}', '{several}'" for letter, several in composed_letters())
+    other = f"coalesce(try_element_at(map({letters}), c), c)"
+    return f"array_join(transform(split({stripped}, ''), c -> if(c BETWEEN '{first}' AND '{last}', {jamo}, {other})), '')"
 
 
-def strip_accents(text: Column) -> Column:
-    """Remove accents: composed characters become their letters, marks go.
+def strip_accents_sql(text: str) -> str:
+    """Remove accents, as SQL over an expression: composed characters become their letters, marks go.
 
     Text whose byte and character lengths agree is ASCII and is returned as it is,
     so the per-character lookup is paid for accented text only; letters that
-    decompose to several are looked for only where the text has one.
+    decompose to several are spelt out only where the text has one.
     """
-    stripped = F.translate(text, *accent_table())
-    several = stripped
-    for letter, letters in composed_letters():
-        several = F.replace(several, F.lit(letter), F.lit(letters))
+    replaced, plain = accent_table()
+    stripped = f"translate({text}, '{replaced}', '{plain}')"
     some = "".join(letter for letter, _ in composed_letters())
-    stripped = F.when(text.rlike(f"[{some}]"), several).otherwise(stripped)
+    spelt = f"CASE WHEN {text} RLIKE '[{some}{chr(_SYLLABLES[0])}-{chr(_SYLLABLES[1])}]' THEN {_spelling(stripped)} ELSE {stripped} END"
+    return f"CASE WHEN octet_length({text}) = char_length({text}) THEN {text} ELSE {spelt} END"
+
+
+def strip_accents(text: Column) -> Column:
+    """:func:`strip_accents_sql` of a column."""
+    first, last = map(chr, _SYLLABLES)
+    letters = F.expr("map(" + ", ".join(f"'{letter}', '{several}'" for letter, several in composed_letters()) + ")")
+    stripped = F.translate(text, *accent_table())
 
     def spell(c: Column) -> Column:
         place = F.ascii(c) - _SYLLABLES[0]
         tail = F.substring(F.lit(_TAILS), place % 28, F.lit(1))
-        return F.concat(
+        jamo = F.concat(
             F.substring(F.lit(_LEADS), F.floor(place / 588).cast("int") + 1, F.lit(1)),
             F.substring(F.lit(_VOWELS), F.floor(place % 588 / 28).cast("int") + 1, F.lit(1)),
             F.when(place % 28 == 0, F.lit("")).otherwise(tail),
         )
+        return F.when(c.between(first, last), jamo).otherwise(F.coalesce(F.try_element_at(letters, c), c))
 
-    first, last = map(chr, _SYLLABLES)
-    spelt = F.array_join(F.transform(F.split(stripped, ""), lambda c: F.when(c.between(first, last), spell(c)).otherwise(c)), "")
-    stripped = F.when(text.rlike(f"[{first}-{last}]"), spelt).otherwise(stripped)
-    return F.when(F.octet_length(text) == F.char_length(text), text).otherwise(stripped)
+    some = "".join(letter for letter, _ in composed_letters())
+    spelt = F.array_join(F.transform(F.split(stripped, ""), spell), "")
+    found = F.when(text.rlike(f"[{some}{first}-{last}]"), spelt).otherwise(stripped)
+    return F.when(F.octet_length(text) == F.char_length(text), text).otherwise(found)
 
 
 def brand_key(brand: Column) -> Column:

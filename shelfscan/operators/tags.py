@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
@@ -34,12 +33,8 @@ def _known_bytes(df: DataFrame) -> int:
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
-_UNITS = {"": 1, "b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
-
-
-def _broadcast_limit(df: DataFrame) -> int:
-    number, unit = re.match(r"(-?\d+)\s*(\w?)", df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")).groups()
-    return int(number) * _UNITS[unit.lower()]
+#: Bytes of a dictionary that may become an array in the plan (some 300 tags): every row builds a set of it.
+ARRAY_BYTES = 16 << 10
 
 
 def match_dictionary(
@@ -47,13 +42,14 @@ def match_dictionary(
 ) -> DataFrame:
     """Adds each row's distinct tags that are in a dictionary of any size, in the row's order.
 
-    ``row_id`` must be unique. A dictionary whose planned size is below the
-    broadcast limit becomes one array in the plan, and nothing moves. For another
-    one, ids and tags go through a semi join, and the matches come back to their
-    rows by id; over a table bucketed by the id the wide rows don't move either.
-    Both give the same rows.
+    ``row_id`` must be unique. A dictionary whose planned size is at most
+    ``ARRAY_BYTES`` becomes one array in the plan, and nothing moves. For another
+    one, ids and tags go through a semi join, with the dictionary broadcast up to
+    the session's limit, and the matches come back to their rows by id; over a table
+    bucketed by the id the wide rows don't move either. So the cost of a row does not
+    depend on the dictionary's size. Both give the same rows.
     """
-    if _known_bytes(dictionary) <= _broadcast_limit(df):
+    if _known_bytes(dictionary) <= ARRAY_BYTES:
         entries = dictionary.select(key).agg(F.collect_list(key)).scalar()
         return df.withColumn(alias, intersect(F.col(tags), entries))
     return match_joined(df, row_id, tags, dictionary, key, alias)
