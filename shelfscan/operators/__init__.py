@@ -7,6 +7,7 @@ from shelfscan.operators.aggregates import (
     share_of_total,
     top_k,
 )
+from shelfscan.operators.bitmaps import count_distinct_bitmaps, dense_numbers, distinct_bitmaps, merge_bitmaps
 from shelfscan.operators.checks import ChecksFailed, check_json_arrays, check_table, require
 from shelfscan.operators.filters import (
     cross_filter,
@@ -17,7 +18,7 @@ from shelfscan.operators.filters import (
     since,
     with_controls,
 )
-from shelfscan.operators.merge import latest_per_key, upsert
+from shelfscan.operators.merge import changes, latest_per_key, upsert
 from shelfscan.operators.tags import (
     arrays_to_json,
     explode_tags,
@@ -29,16 +30,21 @@ from shelfscan.operators.tags import (
 __all__ = [
     "ChecksFailed",
     "arrays_to_json",
+    "changes",
     "check_json_arrays",
     "check_table",
+    "count_distinct_bitmaps",
     "cross_filter",
     "daily_counts",
+    "dense_numbers",
+    "distinct_bitmaps",
     "explode_tags",
     "group_mode",
     "in_scope",
     "latest_per_key",
     "match_dictionary",
     "match_joined",
+    "merge_bitmaps",
     "min_support",
     "require",
     "scope_filter",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order_col: str) -> DataFrame:
@@ -20,6 +20,24 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_col: str) -> DataFr
     return ranked.filter("_rank = 1").drop("_rank")
 
 
+def _newest(delta: DataFrame, keys: Sequence[str], order_col: str) -> DataFrame:
+    checked = delta.withColumns(
+        {k: F.coalesce(k, F.raise_error(F.lit(f"upsert: NULL in key column {k}"))) for k in keys}
+    )
+    return latest_per_key(checked, keys, order_col)
+
+
+def _packed(df: DataFrame, columns: Sequence[str], keys: Sequence[str], alias: str) -> DataFrame:
+    """The keys and one struct of the other columns."""
+    return df.select(*keys, F.struct(*[c for c in columns if c not in keys]).alias(alias))
+
+
+def _older(order_col: str) -> Column:
+    """Whether the base's row stays: there is no newer one, or one with an older stamp."""
+    old, new = F.col(f"_old.{order_col}"), F.col(f"_new.{order_col}")
+    return F.col("_new").isNull() | (F.col("_old").isNotNull() & F.coalesce(new < old, old.isNotNull()))
+
+
 def upsert(base: DataFrame | None, delta: DataFrame, keys: Sequence[str], order_col: str) -> DataFrame:
     """The base with the delta merged in: new keys added, known keys kept at their newest row.
 
@@ -29,19 +47,25 @@ def upsert(base: DataFrame | None, delta: DataFrame, keys: Sequence[str], order_
     key in the delta raises. If the base is bucketed by the keys it is joined in
     place and only the delta is shuffled.
     """
-    checked = delta.withColumns(
-        {k: F.coalesce(k, F.raise_error(F.lit(f"upsert: NULL in key column {k}"))) for k in keys}
-    )
-    newest = latest_per_key(checked, keys, order_col)
+    newest = _newest(delta, keys, order_col)
     if base is None:
         return newest
-    rest = [c for c in base.columns if c not in keys]
-    old = base.select(*keys, F.struct(*rest).alias("_old"))
-    new = newest.select(*keys, F.struct(*rest).alias("_new"))
+    old, new = _packed(base, base.columns, keys, "_old"), _packed(newest, base.columns, keys, "_new")
     merged = old.join(new, list(keys), "full_outer")
-    older = F.col("_new").isNull() | (
-        F.col("_old").isNotNull()
-        & F.coalesce(F.col(f"_new.{order_col}") < F.col(f"_old.{order_col}"), F.col(f"_old.{order_col}").isNotNull())
-    )
-    row = F.when(older, F.col("_old")).otherwise(F.col("_new")).alias("_row")
+    row = F.when(_older(order_col), F.col("_old")).otherwise(F.col("_new")).alias("_row")
     return merged.select(*keys, row).select(*keys, "_row.*").select(*base.columns)
+
+
+def changes(base: DataFrame, delta: DataFrame, keys: Sequence[str], order_col: str, sign: str = "sign") -> DataFrame:
+    """What :func:`upsert` of the same two changes: rows that go (``sign`` -1) and rows that come (1).
+
+    A key whose row stays, or is replaced by an equal one, has neither. A sum over
+    the base plus the signed rows is the sum over the merged table. Only keys of the
+    delta are sent on; over a base bucketed by the keys the base's rows stay where they are.
+    """
+    old = _packed(base, base.columns, keys, "_old")
+    new = _packed(_newest(delta, keys, order_col), base.columns, keys, "_new")
+    changed = new.join(old, list(keys), "left").filter(~_older(order_col) & ~F.col("_old").eqNullSafe(F.col("_new")))
+    signed = [F.struct(F.lit(s).alias(sign), F.col(c).alias("_row")) for s, c in ((-1, "_old"), (1, "_new"))]
+    rows = F.explode(F.array_compact(F.array(F.when(F.col("_old").isNotNull(), signed[0]), signed[1])))
+    return changed.select(*keys, rows.alias("_x")).select(*keys, f"_x.{sign}", "_x._row.*").select(sign, *base.columns)

@@ -5,13 +5,13 @@ from __future__ import annotations
 import dataclasses
 from urllib.parse import quote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shelfscan import schemas
 from shelfscan.operators import require
 from shelfscan.plans import mart as mart_plan
 from shelfscan.plans import staging as staging_plan
-from shelfscan.plans.ingest import ingest, load_name, merge_into_raw, read_raw
+from shelfscan.plans.ingest import ingest, load_name, merge_into_raw, read_changes, read_raw
 from shelfscan.plans.quality import mart_checks, staging_checks
 from shelfscan.sources.dimensions import health_claims, load_seed
 from shelfscan.sources.state import LoadState, append_state, read_state
@@ -29,12 +29,13 @@ def run_load(
     scope: str = "brazil",
     buckets: int | None = None,
     inclusive: bool = False,
+    log_changes: bool = False,
 ) -> LoadState:
     """Merges the products changed since the last load of this scope."""
     name = load_name(scope)
     cutoff = read_state(spark, f"{root}/state", name).cursor
     delta = ingest(source, scope, cutoff, inclusive)
-    return merge_into_raw(spark, delta, root, name, buckets=buckets)
+    return merge_into_raw(spark, delta, root, name, buckets=buckets, log_changes=log_changes)
 
 
 def models_name(scope: str, backend: str = "spark") -> str:
@@ -107,6 +108,50 @@ def run_models(
     return stg, mart
 
 
+def counts_name(scope: str, backend: str = "spark") -> str:
+    """The name under which the state of a scope's category counts is kept."""
+    return f"category_counts_{backend}_{scope.lower()}"
+
+
+def update_mart(
+    spark: SparkSession,
+    root: str,
+    scope: str = "brazil",
+    claims: DataFrame | None = None,
+    backend: str = "spark",
+    rebuild: bool = False,
+) -> DataFrame:
+    """The mart's rows after all loads so far, from stored counts and what loads changed since.
+
+    Only the products that loads put in or replaced since the last call are staged and
+    counted (loads must run with ``log_changes``). The first call, a load without a log, and
+    ``rebuild`` (needed where the claims changed) count the whole raw table. The state
+    names the load that the counts stand for, so each load is counted once,
+    whatever fails in between.
+    """
+    claims = health_claims(spark) if claims is None else claims
+    raw = read_state(spark, f"{root}/state", load_name(scope, backend))
+    if not raw.version:
+        raise LookupError(f"load {load_name(scope, backend)} never ran under {root}")
+    name = counts_name(scope, backend)
+    state = read_state(spark, f"{root}/state", name)
+    path = lambda version: f"{root}/{quote(name, safe='')}/version={version}"
+    counted = state.cursor  # the load that the counts stand for
+    if counted != raw.version or rebuild:
+        signed = None if rebuild or not state.version else read_changes(spark, root, load_name(scope, backend), counted)
+        if signed is None:
+            counts = mart_plan.category_counts(staging_plan.build_staging(read_raw(spark, root, load_name(scope, backend)), claims))
+        else:
+            gone, come = (
+                staging_plan.build_staging(signed.filter(F.col("sign") == s).drop("sign"), claims) for s in (-1, 1)
+            )
+            counts = mart_plan.changed_counts(read_table(spark, path(state.version), schemas.CATEGORY_COUNTS), gone, come)
+        state = LoadState(name, state.version + 1, raw.version)
+        materialize(counts, path(state.version), cluster_by=mart_plan.CLUSTER_BY)
+        append_state(spark, f"{root}/state", state)
+    return mart_plan.mart_of(read_table(spark, path(state.version), schemas.CATEGORY_COUNTS))
+
+
 def run_build(
     spark: SparkSession,
     source: DataFrame,

@@ -4,17 +4,19 @@ from __future__ import annotations
 
 import hashlib
 import re
+import time
 from collections.abc import Sequence
 from urllib.parse import quote
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from shelfscan import schemas
 from shelfscan.functions import first_text, nonempty
-from shelfscan.operators import latest_per_key, scope_filter, since, upsert
-from shelfscan.sources.state import LoadState, append_state, read_state
-from shelfscan.sources.tables import open_bucketed, write_bucketed
+from shelfscan.operators import changes, scope_filter, since, upsert
+from shelfscan.sources.parts import bytes_of, open_parts, parts_of, remove_folders, touched_parts, write_parts
+from shelfscan.sources.state import LoadState, append_state, last_states, read_state
 
 
 #: Bytes of the raw table that a bucket is meant to hold.
@@ -53,50 +55,60 @@ def merge_into_raw(
     order_col: str = "last_modified_t",
     schema: T.StructType = schemas.RAW,
     buckets: int | None = None,
+    log_changes: bool = False,
 ) -> LoadState:
     """Upserts a delta into the raw table of a load and advances its cursor.
 
-    The table has two slots. The merge reads the current one and replaces the
-    other, then the state names the new slot: a lost executor or a failed run
-    leaves the current slot and the cursor untouched, and running again gives
-    the same rows. Without news nothing is written.
+    The table is kept in parts (``shelfscan.sources.parts``). The merge reads the
+    parts that the delta's keys belong to, writes them anew into folders of this load
+    and leaves all others alone; then the state names the current folder of every part.
+    A lost executor or a failed run leaves the current folders and the cursor untouched,
+    and running again gives the same rows. Without news nothing is written.
 
-    The slots are bucketed by key, so a merge shuffles the delta only. Unless told
+    The table is bucketed by key, so a merge shuffles the delta only. Unless told
     otherwise, the number of ``buckets`` follows the table's bytes, about
     ``BUCKET_BYTES`` each, and doubles as the table grows past that; another number
-    than before rewrites the table in that many. The cursor is taken from the delta
-    while it is written.
+    than before rewrites the whole table in that many. The cursor is taken from the
+    delta while it is written.
+
+    ``log_changes``: also write what the merge replaces and puts in place, with a
+    sign (see ``operators.changes``); ``read_changes`` gives it. The first load has
+    no log.
     """
     state = read_state(spark, f"{root}/state", name)
-    if delta.isEmpty():
+    buckets = buckets or _buckets_for(spark, delta, state, root, name)
+    same = buckets == state.buckets
+    touched = touched_parts(delta, keys, buckets) if state.version else []
+    if not touched if state.version else delta.isEmpty():
         return state
+    base = _open(spark, root, name, schema, keys, state, only=touched if same else None) if state.version else None
+    version, slot = state.version + 1, "b" if state.slot == "a" else "a"
+    if log_changes and base is not None:
+        changes(base, delta, keys, order_col).write.mode("overwrite").parquet(_changes_path(root, name, version))
     seen = Observation()
     delta = delta.observe(seen, F.max(order_col).alias("newest"))
-    slot = "b" if state.slot == "a" else "a"
-    buckets = buckets or _buckets_for(spark, delta, state, root, name)
-    base = None
-    if state.version:
-        base = _open_slot(spark, root, name, state.slot, schema, keys, state.buckets)
     merged = upsert(base, delta, keys, order_col)
-    if buckets != state.buckets:
+    if not same:
         merged = merged.repartition(buckets, *keys)
-    table, path = slot_table(root, name, slot, buckets)
-    write_bucketed(merged, table, path, keys, buckets)
+    label = f"{slot}{version}"
+    table, path = raw_table(root, name, buckets)
+    write_parts(merged, table, path, schema, keys, buckets, label)
+    parts = list(state.parts) if same else [label] * parts_of(buckets)
+    for part in touched if same else ():
+        parts[part] = label
     newest = seen.get["newest"]
-    state = LoadState(name, state.version + 1, max(state.cursor, newest or 0), slot, buckets)
+    state = LoadState(name, version, max(state.cursor, newest or 0), slot, buckets, tuple(parts))
     append_state(spark, f"{root}/state", state)
     return state
 
 
 def _buckets_for(spark: SparkSession, delta: DataFrame, state: LoadState, root: str, name: str) -> int:
-    """A power of two, by the bytes of the current slot or, at first, the planned size of the delta.
+    """A power of two, by the bytes of the current table or, at first, the planned size of the delta.
 
     Where the planner can't tell that size, as many as the session has shuffle partitions.
     """
     if state.version:
-        folder = spark._jvm.org.apache.hadoop.fs.Path(slot_table(root, name, state.slot, state.buckets)[1])
-        files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-        wanted = files.getContentSummary(folder).getLength()
+        wanted = bytes_of(spark, raw_table(root, name, state.buckets)[1], state.parts)
     else:
         wanted = int(delta._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
         if wanted >= 1 << 60:
@@ -108,6 +120,30 @@ def _buckets_for(spark: SparkSession, delta: DataFrame, state: LoadState, root:
     return max(many, state.buckets)
 
 
+def _changes_path(root: str, name: str, version: int) -> str:
+    return f"{root}/{quote(name, safe='')}/changes/version={version}"
+
+
+def read_changes(
+    spark: SparkSession, root: str, name: str, after: int, schema: T.StructType = schemas.RAW
+) -> DataFrame | None:
+    """Signed rows of all loads after a version, or None where one of them has no log.
+
+    Their sum over a column is what it grew by since that version.
+    """
+    state = read_state(spark, f"{root}/state", name)
+    paths = [_changes_path(root, name, v) for v in range(after + 1, state.version + 1)]
+    signed = T.StructType([T.StructField("sign", T.IntegerType()), *schema])
+    if not paths:
+        return spark.createDataFrame([], signed)
+    try:
+        return spark.read.schema(signed).parquet(*paths)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def read_raw(
     spark: SparkSession,
     root: str,
@@ -119,21 +155,36 @@ def read_raw(
     state = read_state(spark, f"{root}/state", name)
     if not state.version:
         return spark.createDataFrame([], schema)
-    return _open_slot(spark, root, name, state.slot, schema, keys, state.buckets)
+    return _open(spark, root, name, schema, keys, state)
+
+
+def remove_old_raw(spark: SparkSession, root: str, name: str, keep: int = 2, days: float = 7) -> list[str]:
+    """Deletes folders of parts that none of the last ``keep`` states names and that are older than ``days``.
+
+    A reader that opened the table within those states or days loses nothing. Returns
+    what was deleted.
+    """
+    states = last_states(spark, f"{root}/state", name, keep)
+    before = int((time.time() - days * 86400) * 1000)
+    removed = []
+    for buckets in sorted({s.buckets for s in states}):
+        kept = {(i, label) for s in states if s.buckets == buckets for i, label in enumerate(s.parts)}
+        removed += remove_folders(spark, raw_table(root, name, buckets)[1], kept, before)
+    return removed
 
 
-def slot_table(root: str, name: str, slot: str, buckets: int) -> tuple[str, str]:
-    """Name and path of a slot.
+def raw_table(root: str, name: str, buckets: int) -> tuple[str, str]:
+    """Name and path of a load's table with so many buckets.
 
     The name tells roots, loads and bucket counts apart, so a definition another
     session left in the catalog is never taken for this one. Characters a catalog
     would refuse are replaced in it; the digest keeps such names apart.
     """
-    path = f"{root}/{quote(name, safe='')}/slot={slot}"
+    path = f"{root}/{quote(name, safe='')}/buckets={buckets}"
     digest = hashlib.sha256(path.encode()).hexdigest()[:12]
-    return f"{re.sub('[^A-Za-z0-9_]', '_', name)}_{slot}_{buckets}_{digest}", path
+    return f"{re.sub('[^A-Za-z0-9_]', '_', name)}_{buckets}_{digest}", path
 
 
-def _open_slot(spark, root, name, slot, schema, keys, buckets) -> DataFrame:
-    table, path = slot_table(root, name, slot, buckets)
-    return open_bucketed(spark, table, path, schema, keys, buckets)
+def _open(spark, root, name, schema, keys, state, only=None) -> DataFrame:
+    table, path = raw_table(root, name, state.buckets)
+    return open_parts(spark, table, path, schema, keys, state.buckets, state.parts, only)

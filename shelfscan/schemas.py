@@ -74,6 +74,12 @@ MART = _struct(
     deceptive_share=T.DoubleType(),
 )
 
+CATEGORY_COUNTS = _struct(
+    category_tag=T.StringType(),
+    products_with_claim=T.LongType(),
+    deceptive_products=T.LongType(),
+)
+
 HEALTH_CLAIMS = _struct(claim_tag=T.StringType(), claim_family=T.StringType())
 CATEGORY_GROUPS = _struct(tag=T.StringType(), grp=T.StringType())
 ADDITIVE_FAMILIES = _struct(code=T.StringType(), category=T.StringType())
@@ -88,4 +94,5 @@ LOAD_STATE = _struct(
     cursor=T.LongType(),
     slot=T.StringType(),
     buckets=T.IntegerType(),
+    parts=_tags,
 )

@@ -5,7 +5,7 @@ from __future__ import annotations
 import dataclasses
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
 from shelfscan import schemas
 from shelfscan.operators.filters import SCOPES, in_scope
@@ -14,13 +14,18 @@ from shelfscan.sources.dimensions import mapping_df
 
 @dataclasses.dataclass(frozen=True)
 class LoadState:
-    """What the last finished load left behind."""
+    """What the last finished load left behind.
+
+    ``slot``: a and b in turn. ``parts``: of a table in parts, the label of each part's
+    current folder.
+    """
 
     name: str
     version: int = 0
     cursor: int = 0
     slot: str = ""
     buckets: int = 0
+    parts: tuple[str, ...] = ()
 
 
 def read_state(spark: SparkSession, path: str, name: str) -> LoadState:
@@ -37,15 +42,27 @@ def read_state(spark: SparkSession, path: str, name: str) -> LoadState:
         return LoadState(name)
     row = (
         states.filter(F.col("name") == name)
-        .agg(F.max(F.struct("version", "cursor", "slot", "buckets")).alias("last"))
+        .agg(F.max(F.struct("version", "cursor", "slot", "buckets", "parts")).alias("last"))
         .first()
     )
-    return LoadState(name, **row.last.asDict()) if row.last else LoadState(name)
+    return _state(name, row.last) if row.last else LoadState(name)
+
+
+def _state(name: str, row: Row) -> LoadState:
+    return LoadState(name, **{**row.asDict(), "parts": tuple(row.parts or ())})
+
+
+def last_states(spark: SparkSession, path: str, name: str, many: int) -> list[LoadState]:
+    """The last states of a load, the newest first."""
+    states = spark.read.schema(schemas.LOAD_STATE).parquet(path).filter(F.col("name") == name)
+    rows = states.drop("name").orderBy(F.desc("version")).limit(many).collect()
+    return [_state(name, row) for row in rows]
 
 
 def append_state(spark: SparkSession, path: str, state: LoadState) -> None:
     """Makes a state the current one of its load."""
-    row = mapping_df(spark, [dataclasses.astuple(state)], schemas.LOAD_STATE)
+    values = {**dataclasses.asdict(state), "parts": list(state.parts)}
+    row = mapping_df(spark, [tuple(values.values())], schemas.LOAD_STATE)
     row.coalesce(1).write.mode("append").parquet(path)
 
 

@@ -1,0 +1,169 @@
+"""Tables in parts: which files a load touches, what its changes sum up to, what may be deleted."""
+
+from __future__ import annotations
+
+import glob
+import os
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from shelfscan import schemas
+from shelfscan.operators import changes, upsert
+from shelfscan.plans.build import read_model, run_load, run_models, update_mart
+from shelfscan.plans.ingest import ingest, load_name, merge_into_raw, read_changes, read_raw, remove_old_raw
+from shelfscan.sources.parts import part_of, parts_of
+from shelfscan.sources.state import read_state
+
+
+def export(source_rows, *rows):
+    return source_rows(*[{"code": c, "last_modified_t": t, "product_name": [("pt", n)]} for c, t, n in rows])
+
+
+def content(df):
+    return sorted((r.code, r.last_modified_t, r.product_name) for r in df.collect())
+
+
+def files(root):
+    return {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{root}/**/*.parquet", recursive=True) if "/part=" in f}
+
+
+def test_a_small_delta_leaves_other_parts_untouched(spark, source_rows, tmp_path):
+    root, name = str(tmp_path), load_name("touching")
+    many = [(f"789{i:04}", 1, "x") for i in range(400)]
+    merge_into_raw(spark, ingest(export(source_rows, *many)), root, name, buckets=64)
+    before = files(root)
+    assert len(before) == 64 and all("/load=a1/" in f for f in before)
+    delta = [("7890001", 2, "y"), ("7890002", 2, "y"), ("7899999", 1, "new")]
+    state = merge_into_raw(spark, ingest(export(source_rows, *delta)), root, name)
+    after = files(root)
+    assert before.items() <= after.items()
+    assert 1 <= len(after) - len(before) <= 3 and all("/load=b2/" in f for f in after.keys() - before.keys())
+    assert Counter(state.parts).most_common(1)[0] == ("a1", 64 - (len(after) - len(before)))
+    expected = sorted([r for r in many if r[0] not in ("7890001", "7890002")] + delta)
+    assert content(read_raw(spark, root, name)) == expected
+
+
+def test_only_touched_parts_are_read(spark, source_rows, tmp_path, plan_of):
+    root, name = str(tmp_path), load_name("reading")
+    many = ingest(export(source_rows, *[(f"789{i:04}", 1, "x") for i in range(400)]))
+    merge_into_raw(spark, many, root, name, buckets=32)
+    merge_into_raw(spark, ingest(export(source_rows, ("7890001", 2, "y"))), root, name)
+    whole = read_raw(spark, root, name)
+    assert whole.count() == 400 and len(whole.inputFiles()) >= 32
+    # a join on the key reads parts of different loads in place
+    plan = plan_of(whole.groupBy("code").count())
+    assert "Exchange" not in plan and "SelectedBucketsCount: 32 out of 32" in plan
+
+
+def test_parts_are_ranges_of_the_buckets_that_spark_writes(spark, source_rows, tmp_path):
+    root, name = str(tmp_path), load_name("ranges")
+    merge_into_raw(spark, ingest(export(source_rows, *[(f"789{i}", 1, "x") for i in range(100)])), root, name, buckets=7)
+    for file in files(root):
+        part, bucket = int(file.split("/part=")[1].split("/")[0]), int(file.rsplit("_", 1)[1].split(".")[0])
+        assert part == bucket
+    assert (parts_of(7), parts_of(4096), parts_of(10_000)) == (7, 4096, 3334)
+    parts = spark.range(1000).select(part_of(["id"], 10_000).alias("p")).agg(F.min("p"), F.max("p")).first()
+    assert 0 <= parts[0] and parts[1] < 3334
+
+
+def test_a_failed_try_leaves_nothing_behind(spark, source_rows, tmp_path, monkeypatch):
+    root, name = str(tmp_path), load_name("retried")
+    merge_into_raw(spark, ingest(export(source_rows, ("7891", 1, "a"), ("7892", 1, "a"))), root, name, buckets=4)
+
+    def lost(*_):
+        raise OSError("lost before the state was written")
+
+    with monkeypatch.context() as patched:
+        patched.setattr("shelfscan.plans.ingest.append_state", lost)
+        with pytest.raises(OSError):
+            merge_into_raw(spark, ingest(export(source_rows, ("7891", 2, "gone"))), root, name)
+    assert content(read_raw(spark, root, name)) == [("7891", 1, "a"), ("7892", 1, "a")]
+    merge_into_raw(spark, ingest(export(source_rows, ("7891", 3, "b"), ("7893", 1, "c"))), root, name)
+    assert content(read_raw(spark, root, name)) == [("7891", 3, "b"), ("7892", 1, "a"), ("7893", 1, "c")]
+
+
+def test_old_folders_are_removed_and_named_ones_stay(spark, source_rows, tmp_path):
+    root, name = str(tmp_path), load_name("ageing")
+    for stamp in range(1, 5):
+        rows = export(source_rows, *[(f"789{i}", stamp, f"v{stamp}") for i in range(8)])
+        merge_into_raw(spark, ingest(rows), root, name, buckets=2)
+    assert remove_old_raw(spark, root, name, keep=2, days=1) == []
+    removed = remove_old_raw(spark, root, name, keep=2, days=0)
+    assert len(removed) == 4 and all("load=a1" in f or "load=b2" in f for f in removed)
+    assert {f.split("/load=")[1].split("/")[0] for f in files(root)} == {"a3", "b4"}
+    assert {t for _, t, _ in content(read_raw(spark, root, name))} == {4}
+    assert remove_old_raw(spark, root, name, keep=2, days=0) == []
+
+
+CHANGE = "code string, t bigint, v string"
+
+
+def test_changes_are_what_an_upsert_changes(spark):
+    base = spark.createDataFrame([("a", 5, "x"), ("b", 5, "x"), ("c", 5, "x"), ("e", None, "x")], CHANGE)
+    delta = spark.createDataFrame(
+        [("a", 6, "y"), ("a", 7, "z"), ("b", 4, "late"), ("c", 5, "x"), ("d", 1, None), ("e", 1, "y")], CHANGE
+    )
+    got = changes(base, delta, ["code"], "t")
+    assert got.columns == ["sign", "code", "t", "v"]
+    rows = Counter(tuple(r) for r in got.collect())
+    assert rows == Counter([(-1, "a", 5, "x"), (1, "a", 7, "z"), (1, "d", 1, None), (-1, "e", None, "x"), (1, "e", 1, "y")])
+    merged = Counter(tuple(r) for r in upsert(base, delta, ["code"], "t").collect())
+    summed = Counter(tuple(r) for r in base.collect())
+    for (sign, *row), n in rows.items():
+        summed[tuple(row)] += sign * n
+    assert +summed == merged
+    assert changes(upsert(base, delta, ["code"], "t"), delta, ["code"], "t").count() == 0
+
+
+def product(code, stamp, nova, *categories):
+    return {
+        "code": f"789{code}", "last_modified_t": stamp, "nova_group": nova,
+        "labels_tags": ["en:organic"], "categories_tags": list(categories),
+    }
+
+
+def test_the_mart_follows_the_loads(spark, source_rows, tmp_path):
+    root = str(tmp_path)
+    mart = lambda: sorted(tuple(r) for r in update_mart(spark, root).collect())
+
+    def rebuilt():
+        run_models(spark, root)
+        return sorted(tuple(r) for r in read_model(spark, root, "mart_deceptive_by_category").collect())
+
+    with pytest.raises(LookupError):
+        update_mart(spark, root)
+    first = [product(i, 1, 4 if i % 2 else 1, "en:yogurts", "en:breads") for i in range(8)]
+    run_load(spark, source_rows(*first), root, log_changes=True)
+    assert mart() == rebuilt() == [("en:breads", 8, 4, 0.5), ("en:yogurts", 8, 4, 0.5)]
+    # new products, one that leaves a category, one that loses its claim, one that comes too late
+    second = [product(i, 2, 4, "en:yogurts") for i in range(3)] + [product(20 + i, 2, 4, "en:sodas") for i in range(5)]
+    second += [{**product(3, 2, 4, "en:breads"), "labels_tags": []}, product(4, 0, 4, "en:late")]
+    run_load(spark, source_rows(*second), root, log_changes=True)
+    run_load(spark, source_rows(product(5, 3, 1, "en:breads")), root, log_changes=True)
+    assert read_changes(spark, root, load_name("brazil"), 1).count() == 9 + 4 + 2
+    assert mart() == rebuilt()
+    counts = read_state(spark, f"{root}/state", "category_counts_spark_brazil")
+    assert mart() == rebuilt() and read_state(spark, f"{root}/state", counts.name) == counts
+    # a load without a log: counted anew
+    run_load(spark, source_rows(product(30, 9, 4, "en:sodas")), root)
+    assert read_changes(spark, root, load_name("brazil"), 3) is None
+    assert mart() == rebuilt()
+    assert update_mart(spark, root, rebuild=True).count() == len(rebuilt())
+
+
+def test_merging_a_small_delta_costs_what_it_touches(spark, source_rows, tmp_path):
+    """A delta of ten keys writes ten parts of 128 at most."""
+    root, name = str(tmp_path), load_name("costing")
+    source = spark.range(20_000).select(
+        F.concat(F.lit("789"), F.lpad("id", 8, "0")).alias("code"), F.lit("x").alias("product_name"), F.lit(1).alias("nova_group"),
+        *[F.lit(None).cast(f.dataType).alias(f.name) for f in schemas.RAW.fields[3:-1]], F.lit(1).cast("bigint").alias("last_modified_t"),
+    )
+    source = source.select(*[F.col(f.name).cast(f.dataType) for f in schemas.RAW])
+    merge_into_raw(spark, source, root, name, buckets=128)
+    size = lambda: sum(os.path.getsize(f) for f in files(root))
+    whole = size()
+    merge_into_raw(spark, source.limit(10).withColumn("last_modified_t", F.lit(2).cast("bigint")), root, name)
+    assert size() - whole < whole * 10 / 100
+    assert read_raw(spark, root, name).filter("last_modified_t = 2").count() == 10
