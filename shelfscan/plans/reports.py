@@ -21,6 +21,8 @@ from shelfscan.functions import (
     sumif,
 )
 from shelfscan.operators import (
+    count_distinct_bitmaps,
+    distinct_bitmaps,
     explode_tags,
     group_mode,
     min_support,
@@ -109,6 +111,24 @@ def tile3_category_groups(stg: DataFrame, groups: DataFrame) -> DataFrame:
     )
 
 
+def tile3_bitmaps(stg: DataFrame, groups: DataFrame, numbers: DataFrame) -> DataFrame:
+    """Deceptive products of each category group and year as bitmaps; ``numbers``: of the products.
+
+    To be kept: :func:`tile3_from_bitmaps` answers any range of years from it.
+    """
+    deceptive = stg.filter("is_deceptive").join(numbers, "product_id")
+    tagged = explode_tags(deceptive, "categories_tags", "tag", keep=["number", "created_year"])
+    categories = tagged.select("number", "created_year", drop_language(F.col("tag")).alias("category"))
+    grouped = tag_join(categories, groups, "category", "tag").withColumnRenamed("grp", "category_group")
+    return distinct_bitmaps(grouped, ["category_group", "created_year"])
+
+
+def tile3_from_bitmaps(bitmaps: DataFrame, first: int, last: int) -> DataFrame:
+    """:func:`tile3_category_groups` of products created from one year to another."""
+    chosen = bitmaps.filter(F.col("created_year").between(first, last))
+    return count_distinct_bitmaps(chosen, ["category_group"], "products").orderBy(F.desc("products"), "category_group")
+
+
 def tile4_top_brands(stg: DataFrame, k: int = 10) -> DataFrame:
     """Brands with most deceptive products, spellings folded, shown in the commonest one."""
     branded = stg.filter(F.col("is_deceptive") & present(F.col("brands")))
