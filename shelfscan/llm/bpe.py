@@ -15,23 +15,29 @@ Decoding. Tokens give bytes; :class:`Utf8Stream` hands on whole characters and
 keeps the beginning of one until the rest arrives. Malformed bytes come out as
 U+FFFD, as Python's decoder has it.
 
-Defined results: a null or empty text has no tokens and decodes to no bytes.
+Defined results: a null or empty text has no tokens and decodes to no bytes. Each row
+is encoded for itself, so repeated rows give repeated results, and an empty table an
+empty one; columns named as a result's are replaced, others stay. A text of any length is
+encoded whole, in pieces, with memory for its ids. What a worker remembers is bounded.
 """
 
 from __future__ import annotations
 
 import base64
 from array import array
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from shelfscan.llm.chunks import Memo, chunks
+from shelfscan.llm.chunks import chunks
 
-#: States, pairs and plain merges a worker keeps before it starts anew.
-STATES = 250_000
+#: States, steps and pairs a worker keeps before it starts anew (some 200 MB in all).
+STATES, MOVES, PAIRS = 300_000, 600_000, 300_000
+
+#: Chunks and pieces whose ids a worker keeps (twice as many at most), and the longest of them.
+RECENT, RECENT_CHARS = 100_000, 64
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -61,6 +67,15 @@ def merge_plainly(piece: bytes, ranks: dict[bytes, int], below: int = 1 << 62) -
     return parts
 
 
+class _State:
+    """A state's key, the steps from it so far (byte to state and emitted ids) and what it emits at the end."""
+
+    __slots__ = ("key", "moves", "ending")
+
+    def __init__(self, key: bytes):
+        self.key, self.moves, self.ending = key, {}, None
+
+
 class Transducer:
     """Reads the bytes of one piece and emits token ids."""
 
@@ -68,28 +83,23 @@ class Transducer:
         self.ranks, self.tokens = ranks, tokens_of(ranks)
         self.longest = max(map(len, ranks), default=1)
         self.beginnings = {token[:n] for token in ranks for n in range(1, len(token))}
-        self.together: dict[tuple[bytes, bytes], bool] = {}
+        self.together: dict[int, bool] = {}
         self.halves: dict[bytes, tuple[bytes, bytes] | None] = {}
         self._forget()
 
     def _forget(self) -> None:
-        """Only the state before the first byte is left, as number 0."""
-        self.states = [self._key(b"", (), 0)]
-        self.number = {self.states[0]: 0}
-        self.emissions: list[tuple[int, ...]] = [()]
-        self.emission = {(): 0}
-        #: state and byte to next state and emission
-        self.moves: dict[int, int] = {}
-        self.endings: dict[int, list[int]] = {}
-
-    def _forget_but(self, state: int) -> int:
-        """The new number of a state that is gone on from."""
-        key = self.states[state]
-        self._forget()
-        if key not in self.number:
-            self.number[key] = len(self.states)
-            self.states.append(key)
-        return self.number[key]
+        """Only the state before the first byte is left."""
+        self.states: dict[bytes, _State] = {}
+        self.emissions: dict[tuple[int, ...], tuple[int, ...]] = {}
+        self.moves = 0
+        self.start = self._known(self._key(b"", (), 0))
+
+    def _known(self, key: bytes) -> _State:
+        """The state of a key."""
+        state = self.states.get(key)
+        if state is None:
+            state = self.states[key] = _State(key)
+        return state
 
     def _key(self, tail: bytes, sizes: Iterable[int], before: int) -> bytes:
         """A state: the bytes read since the emitted tokens; for every place in them the size of the
@@ -97,8 +107,8 @@ class Transducer:
         (its rank and 1; 0: none; the number of ranks and 1: never needed again)."""
         return before.to_bytes(4) + tail + array("H", sizes).tobytes()
 
-    def _state(self, number: int) -> tuple[bytes, list[int], int]:
-        key = self.states[number]
+    @staticmethod
+    def _parts(key: bytes) -> tuple[bytes, list[int], int]:
         n = (len(key) - 4) // 3
         return key[4 : 4 + n], list(memoryview(key[4 + n :]).cast("H")), int.from_bytes(key[:4])
 
@@ -106,10 +116,10 @@ class Transducer:
         if not before:
             # a token that its own merges don't reach never stands in a merged piece
             return merge_plainly(token, self.ranks) == [token]
-        key = (before, token)
+        key = self.ranks[before] << 24 | self.ranks[token]
         found = self.together.get(key)
         if found is None:
-            if len(self.together) >= STATES:
+            if len(self.together) >= PAIRS:
                 self.together.clear()
             found = self.together[key] = self._keep_apart(before, token)
         return found
@@ -144,9 +154,12 @@ class Transducer:
             else:
                 return True
 
-    def _determinise(self, state: int, byte: int) -> int:
+    def _determinise(self, state: _State, byte: int) -> tuple[_State, tuple[int, ...]]:
         """Makes the step for a byte, and the state that it leads to if it is new."""
-        tail, sizes, before = self._state(state)
+        if len(self.states) >= STATES or self.moves >= MOVES:
+            self._forget()
+            state = self._known(state.key)
+        tail, sizes, before = self._parts(state.key)
         tail += bytes([byte])
         n = len(tail)
         for size in range(min(n, self.longest), 0, -1):
@@ -181,41 +194,35 @@ class Transducer:
             tail, sizes, before = tail[shared[-1] :], sizes[shared[-1] :], out[-1] + 1
         if tail and tail not in self.beginnings:
             before = len(self.tokens) + 1  # nothing can start there any more
-        key = self._key(tail, sizes, before)
-        target = self.number.setdefault(key, len(self.states))
-        if target == len(self.states):
-            self.states.append(key)
-        emission = self.emission.setdefault(out, len(self.emissions))
-        if emission == len(self.emissions):
-            self.emissions.append(out)
-        move = self.moves[state << 8 | byte] = target << 24 | emission
+        target = self._known(self._key(tail, sizes, before))
+        move = state.moves[byte] = target, self.emissions.setdefault(out, out)
+        self.moves += 1
         return move
 
+    def _ending(self, state: _State) -> list[int]:
+        """Tokens of the bytes read since the emitted ones."""
+        tail, sizes, _ = self._parts(state.key)
+        ending, at = [], len(tail)
+        while at > 0:
+            ending.append(self.ranks[tail[at - sizes[at - 1] : at]])
+            at -= sizes[at - 1]
+        return ending[::-1]
+
     def encode(self, piece: bytes) -> list[int]:
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
-        moves, emissions, state, out = self.moves, self.emissions, 0, []
+        state, out = self.start, []
         for byte in piece:
-            move = moves.get(state << 8 | byte)
+            move = state.moves.get(byte)
             if move is None:
-                if len(self.states) >= STATES or len(self.emissions) >= 1 << 23:
-                    state = self._forget_but(state)
-                    moves, emissions = self.moves, self.emissions
                 move = self._determinise(state, byte)
-            state = move >> 24
-            if move & 0xFFFFFF:
-                out += emissions[move & 0xFFFFFF]
-        ending = self.endings.get(state)
-        if ending is None:
-            tail, sizes, _ = self._state(state)
-            ending, at = [], len(tail)
-            while at > 0:
-                ending.append(self.ranks[tail[at - sizes[at - 1] : at]])
-                at -= sizes[at - 1]
-            ending.reverse()
-            self.endings[state] = ending
-        return out + ending
+            state, emitted = move
+            if emitted:
+                out += emitted
+        if state.ending is None:
+            state.ending = self._ending(state)
+        return out + state.ending
 
 
 #: How many bytes follow a first byte of UTF-8 (-1: it can't come first).
@@ -265,22 +272,51 @@ def decode_stream(ids: Iterable[int], tokens: list[bytes], step: int = 4096) ->
     yield stream.end()
 
 
+class Recent:
+    """``make(key)`` of the keys asked for lately; older ones are made again.
+
+    Two generations: a key that is still asked for moves to the younger one; when that
+    is full the older one goes.
+    """
+
+    def __init__(self, make: Callable[[str], bytes]):
+        self.make, self.young, self.old = make, {}, {}
+
+    def __call__(self, key: str) -> bytes:
+        value = self.young.get(key)
+        if value is None:
+            value = self.old.get(key)
+            if value is None:
+                value = self.make(key)
+            if len(key) <= RECENT_CHARS:
+                if len(self.young) >= RECENT:
+                    self.young, self.old = {}, self.young
+                self.young[key] = value
+        return value
+
+
 class Encoder:
-    """Texts to ids; words already met are looked up."""
+    """Texts to ids; words met lately are looked up, first with what stands around them, then alone."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         import regex
 
         self.find, self.transducer = regex.compile(pattern).findall, Transducer(ranks)
-        self.memo = Memo(self._ids)
+        self.pieces, self.chunks = Recent(self._ids), Recent(self._chunk)
+
+    def _ids(self, piece: str) -> bytes:
+        return array("I", self.transducer.encode(piece.encode())).tobytes()
 
-    def _ids(self, parts: list[str]) -> list[bytes]:
-        encode, find = self.transducer.encode, self.find
-        return [array("I", [i for piece in find(part) for i in encode(piece.encode())]).tobytes() for part in parts]
+    def _chunk(self, chunk: str) -> bytes:
+        return b"".join(map(self.pieces, self.find(chunk)))
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit numbers."""
-        return b"".join(self.memo(chunks(text)))
+        parts = chunks(text)
+        values = list(map(self.chunks.young.get, parts))
+        if None in values:
+            values = [self.chunks(p) if v is None else v for p, v in zip(parts, values, strict=True)]
+        return b"".join(values)
 
 
 _ENCODERS: dict[tuple[str, str], Encoder] = {}
@@ -293,31 +329,67 @@ def encoder(path: str, pattern: str) -> Encoder:
     return _ENCODERS[path, pattern]
 
 
+def _mapped(docs: DataFrame, kept: list[str], schema, columns: Callable[[pd.DataFrame], dict[str, list]]) -> DataFrame:
+    """``docs`` with columns made in Python, a batch at a time."""
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            yield part[kept].assign(**columns(part))
+
+    return docs.mapInPandas(run, schema)
+
+
 def encode_documents(docs: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:
     """``docs`` with the ids of each text, as little-endian unsigned 32-bit numbers in a binary column."""
     kept = [c for c in docs.columns if c != ids]
-    schema = docs.select(*kept).schema.add(ids, "binary")
+    docs = docs.select(*kept)
 
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def columns(part: pd.DataFrame) -> dict[str, list]:
         encode = encoder(path, pattern).encode
-        for part in parts:
-            yield part[kept].assign(**{ids: [encode(t) if isinstance(t, str) else b"" for t in part[text]]})
+        return {ids: [encode(t) if isinstance(t, str) else b"" for t in part[text]]}
+
+    return _mapped(docs, kept, docs.schema.add(ids, "binary"), columns)
+
+
+def _decoded(ids: bytes | None, tokens: list[bytes]) -> str:
+    return "".join(decode_stream(np.frombuffer(ids or b"", "<u4").tolist(), tokens))
 
-    return docs.select(*kept).mapInPandas(run, schema)
+
+_TOKENS: dict[str, list[bytes]] = {}
+
+
+def _tokens(path: str) -> list[bytes]:
+    """The worker's tokens of a rank file."""
+    if path not in _TOKENS:
+        _TOKENS[path] = tokens_of(load_ranks(path))
+    return _TOKENS[path]
 
 
 def decode_documents(encoded: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
     """``encoded`` with the text of its ids."""
     kept = [c for c in encoded.columns if c != text]
-    schema = encoded.select(*kept).schema.add(text, "string")
+    encoded = encoded.select(*kept)
+    columns = lambda part: {text: [_decoded(x, _tokens(path)) for x in part[ids]]}
+    return _mapped(encoded, kept, encoded.schema.add(text, "string"), columns)
 
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tokens = tokens_of(load_ranks(path))
-        for part in parts:
-            texts = ["".join(decode_stream(np.frombuffer(x or b"", "<u4").tolist(), tokens)) for x in part[ids]]
-            yield part[kept].assign(**{text: texts})
 
-    return encoded.select(*kept).mapInPandas(run, schema)
+def round_trip(
+    docs: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids", decoded: str = "decoded"
+) -> DataFrame:
+    """``docs``, but for its text, with the ids of each text and the text of the ids.
+
+    One worker a task does both, with one set of tables; the text isn't sent back.
+    """
+    kept = [c for c in docs.columns if c not in (text, ids, decoded)]
+    docs = docs.select(*kept, F.col(text))
+
+    def columns(part: pd.DataFrame) -> dict[str, list]:
+        encoding = encoder(path, pattern)
+        made = [encoding.encode(t) if isinstance(t, str) else b"" for t in part[text]]
+        return {ids: made, decoded: [_decoded(x, encoding.transducer.tokens) for x in made]}
+
+    schema = docs.select(*kept).schema.add(ids, "binary").add(decoded, "string")
+    return _mapped(docs, kept, schema, columns)
 
 
 def op8_bpe(spark, sf_dir: str) -> DataFrame:
@@ -325,9 +397,7 @@ def op8_bpe(spark, sf_dir: str) -> DataFrame:
 
     path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    # the ids alone go on to the decoder, so that the texts are not carried along
-    encoded = encode_documents(docs, path, pattern).drop("text")
-    return decode_documents(encoded, path).select(
+    return round_trip(docs, path, pattern).select(
         "doc_id",
         (F.length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),

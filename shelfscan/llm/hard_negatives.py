@@ -127,7 +127,8 @@ def _searched(row_blocks: DataFrame, blocks_of_rows: int, anchors: DataFrame, wh
     anchor_blocks, _ = _dealt(anchors, F.xxhash64("anchor"), "a", ANCHORS)
     # the stated anchors go to every block of rows; one pair of blocks is one step of a task's work
     numbers = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks_of_rows - 1).cast("long")))
-    pairs = row_blocks.join(anchor_blocks.select("*", numbers.alias("r")), "r")
+    # never broadcast: one copy of the anchors for each block of rows is more than the planner sees
+    pairs = row_blocks.join(anchor_blocks.select("*", numbers.alias("r")).hint("merge"), "r")
 
     def found_in(line, ids, same, own, pair, i):
         """(place, slot): the places chosen for anchor ``i``, each with the positive it belongs to."""

@@ -20,9 +20,11 @@ Pairs. Sets that are equal are one node. In every bucket of a key each node is
 first paired with one centre only, the first in one of a few orders of all nodes, so
 that a large group meets several centres; the pairs that hold are joined into
 components. Then all pairs of a bucket whose components still differ are looked at,
-for the keys that are not left out. Pairs whose bitmaps of elements differ by too much can't be linked and
-go; the rest is verified on the sets themselves. No pair between different
-components is left out, so components are exact.
+for the keys that are not left out; buckets with the same nodes count once. They are
+looked at where the bucket's rows lie, a large bucket in blocks, by size and by bitmaps of the
+elements: pairs that differ by too much can't be linked and never become rows. The
+rest is verified on the sets themselves. No pair between different components is
+left out, so components are exact.
 
 Elements and nodes are compared by 64-bit hashes.
 
@@ -54,6 +56,9 @@ CENTRES = 4
 #: Rows handed to Python at once.
 BATCH = 1000
 
+#: Nodes of a block of a bucket, and pairs whose bitmaps are compared at once.
+CROWD, PAIRS = 1024, 1 << 15
+
 #: Bits of a node's bitmap.
 BITS = 1024
 
@@ -251,14 +256,8 @@ def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, shingle: int,
         for batch in batches:
             if not batch.num_rows:
                 continue
-            a, b = (np.asarray(batch.column(f"n_shingles_{x}")) for x in "ab")
-            maps = [
-                np.frombuffer(b"".join(batch.column(f"bits_{x}").to_pylist()), _U).reshape(len(a), -1) for x in "ab"
-            ]
-            differ = np.bitwise_count(maps[0] ^ maps[1]).sum(axis=1, dtype=np.int64)
-            keep = ((100 + percent) * differ <= (100 - percent) * (a + b)) & (
-                100 * np.minimum(a, b) >= percent * np.maximum(a, b)
-            )
+            sizes = [np.asarray(batch.column(f"n_shingles_{x}")) for x in "ab"]
+            keep = _near(*sizes, *[_words_of_bits(batch.column(f"bits_{x}")) for x in "ab"], percent)
             names = ["node_a", "node_b", "doc_id_a", "doc_id_b"]
             yield batch.select(names).filter(pa.array(keep))
 
@@ -304,6 +303,91 @@ def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, shingle: int,
     return checkpointed(with_b.mapInArrow(exact, "a bigint, b bigint"))
 
 
+def _near(a: np.ndarray, b: np.ndarray, bits_a: np.ndarray, bits_b: np.ndarray, percent: int) -> np.ndarray:
+    """Which pairs of sets may be linked, by their sizes and bitmaps (as 64-bit words)."""
+    differ = np.bitwise_count(bits_a ^ bits_b).sum(axis=1, dtype=np.int64)
+    return ((100 + percent) * differ <= (100 - percent) * (a + b)) & (100 * np.minimum(a, b) >= percent * np.maximum(a, b))
+
+
+def _words_of_bits(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), _U).reshape(len(column), -1)
+
+
+def _pairs_of_runs(firsts: np.ndarray, n: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places (p, q), p < q, of all pairs of rows of one run; runs begin at ``firsts`` of n rows."""
+    ends = np.append(firsts[1:], n)
+    behind = np.repeat(ends, ends - firsts) - np.arange(n) - 1  # rows of the run that follow
+    total = np.cumsum(behind)
+    at = 0
+    while at < n:
+        end = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + PAIRS, "right")))
+        p = np.repeat(np.arange(at, end), behind[at:end])
+        begins = np.repeat(total[at:end] - behind[at:end], behind[at:end])
+        yield p, p + 1 + np.arange(len(p)) + (total[at - 1] if at else 0) - begins
+        at = end
+
+
+def _crossing(percent: int):
+    """mapInArrow function over rows sorted by (same, unit): pairs of nodes that may be linked."""
+
+    def found(rows: dict[str, np.ndarray]) -> pa.RecordBatch | None:
+        n = len(rows["node"])
+        new = np.ones(n, bool)
+        new[1:] = (rows["same"][1:] != rows["same"][:-1]) | (rows["unit"][1:] != rows["unit"][:-1])
+        parts = []
+        for p, q in _pairs_of_runs(np.flatnonzero(new), n):
+            # two blocks meet: pairs inside one of them are looked at where it is alone
+            mine = (rows["root"][p] != rows["root"][q]) & ((rows["side"][p] != rows["side"][q]) | rows["alone"][p])
+            p, q = p[mine], q[mine]
+            keep = _near(rows["n"][p], rows["n"][q], rows["bits"][p], rows["bits"][q], percent)
+            a, b = rows["node"][p[keep]], rows["node"][q[keep]]
+            parts.append((np.minimum(a, b), np.maximum(a, b)))
+        if not any(len(a) for a, _ in parts):
+            return None
+        a, b = (np.concatenate(x) for x in zip(*parts, strict=True))
+        return pa.RecordBatch.from_arrays([a, b], ["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            names = ("same", "unit", "side", "alone", "node", "root", "n")
+            rows = {c: np.asarray(batch.column(c)) if c != "alone" else np.array(batch.column(c).to_pylist(), bool) for c in names}
+            rows["bits"] = _words_of_bits(batch.column("bits"))
+            if rest is not None:
+                rows = {c: np.concatenate([rest[c], v]) for c, v in rows.items()}
+            # the last run may go on in the next batch
+            last = (rows["same"] == rows["same"][-1]) & (rows["unit"] == rows["unit"][-1])
+            cut = int(np.argmax(last))
+            rest = {c: v[cut:] for c, v in rows.items()}
+            if cut and (out := found({c: v[:cut] for c, v in rows.items()})):
+                yield out
+        if rest is not None and (out := found(rest)):
+            yield out
+
+    return run
+
+
+def _crossing_pairs(looked_at: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """(a, b): pairs of one bucket but different roots that may be linked.
+
+    ``looked_at``: (same, size, node, root). A bucket of more than ``CROWD`` nodes is dealt
+    into blocks, and every two blocks meet in a unit of their own.
+    """
+    many = F.ceil(F.col("size") / CROWD).cast("int")
+    block = F.pmod(F.xxhash64("node", F.lit(7)), many).cast("int")
+    dealt = looked_at.select("same", "node", "root", many.alias("many"), block.alias("side"))
+    other = F.explode(F.sequence(F.lit(0), F.col("many") - 1))
+    units = dealt.select("*", other.alias("other")).select(
+        "same", "node", "root", "side", (F.col("side") == F.col("other")).alias("alone"),
+        (F.least("side", "other").cast("long") * F.col("many") + F.greatest("side", "other")).alias("unit"),
+    )
+    sets = nodes.select("node", F.col("n_shingles").alias("n"), "bits")
+    rows = units.join(sets, "node").repartition("same", "unit").sortWithinPartitions("same", "unit")
+    return rows.mapInArrow(_crossing(percent), "a bigint, b bigint").distinct()
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id) of each row."""
     with batches_of(docs.sparkSession, BATCH):
@@ -335,17 +419,17 @@ def _near_duplicates(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     # what is left: buckets with nodes of more than one component
     members = buckets.select("key", "node", "low").join(roots, "node", "left")
     members = members.withColumn("root", F.coalesce("root", "node"))
+    # buckets with the same nodes have the same pairs: one number for all of them
+    nodes_of = F.xxhash64(F.count("*"), F.bit_xor(F.xxhash64("node")))
     mixed = members.groupBy("key").agg(
-        F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("size")
+        F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("size"), nodes_of.alias("same")
     ).filter("x < y")
-    members = written(members.join(mixed.select("key", "size"), "key"), "mixed")
+    members = written(members.join(mixed.select("key", "size", "same"), "key"), "mixed")
     choice = lambda name: F.when(F.col("low"), F.col(f"{name}_1")).otherwise(F.col(f"{name}_0"))
     costliest = Window.partitionBy("node", "low").orderBy(F.desc("size"), "key")
-    ranked = members.withColumn("place", F.row_number().over(costliest)).join(nodes, "node")
+    ranked = members.withColumn("place", F.row_number().over(costliest)).join(nodes.drop("bits"), "node")
     looked_at = ranked.filter(F.col("place") > F.greatest(choice("spare") - choice("empty"), F.lit(0)))
-    left = looked_at.select("key", F.col("node").alias("a"), F.col("root").alias("ra"))
-    right = looked_at.select("key", F.col("node").alias("b"), F.col("root").alias("rb"))
-    crossing = left.join(right, "key").filter("a < b AND ra <> rb").select("a", "b").distinct()
+    crossing = _crossing_pairs(looked_at.select("same", "size", "node", "root").distinct(), nodes, percent)
     more = _verified(texts, nodes, crossing, shingle, percent)
 
     roots = components(links.union(more))

@@ -236,7 +236,8 @@ def search(docs: DataFrame, items: DataFrame, k: int = 10) -> DataFrame:
     numbers = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(max(many - 1, 0)).cast("long")))
     shards = index.withColumn("bucket", F.pmod(F.xxhash64("shard"), F.lit(max(many, 1))))
     shards = shards.select("bucket", "shard", "vocabulary", "having", "ids", "lengths", "places", "counts")
-    pairs = shards.join(item_blocks.drop("block").select("*", numbers.alias("bucket")), "bucket")
+    # never broadcast: one copy of the items for each bucket is more than the planner sees
+    pairs = shards.join(item_blocks.drop("block").select("*", numbers.alias("bucket")).hint("merge"), "bucket")
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         current = lists = None

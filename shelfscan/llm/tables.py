@@ -35,12 +35,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 @contextlib.contextmanager
-def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
-    """Rows handed to Python at once by what runs inside, at most: rows that carry whole sets are large."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(min(rows, int(before)) if int(before) > 0 else rows))
+def batches_of(spark: SparkSession, rows: int, size: int = 16 << 20) -> Iterator[None]:
+    """Rows, and bytes, handed to Python at once by what runs inside, at most: rows that carry whole sets are large."""
+    least = {"spark.sql.execution.arrow.maxRecordsPerBatch": rows, "spark.sql.execution.arrow.maxBytesPerBatch": size}
+    before = {key: spark.conf.get(key, None) for key in least}
+    for key, most in least.items():
+        known = before[key] or ""
+        spark.conf.set(key, str(min(most, int(known)) if known.isdigit() and int(known) > 0 else most))
     try:
         yield
     finally:
-        spark.conf.set(key, before)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)

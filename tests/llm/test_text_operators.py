@@ -521,3 +521,69 @@ def test_hashes_are_of_whole_results(spark, sf_dir):
     got = {r.doc_id: r for r in bpe.op8_bpe(spark, folder).collect()}
     for r in spark.read.parquet(f"{folder}/documents.parquet").collect():
         assert got[r.doc_id].decoded_sha256 == hashlib.sha256((r.text or "").encode()).hexdigest()
+
+
+def test_pairs_of_runs(monkeypatch):
+    firsts, n = np.array([0, 3, 4, 9]), 11
+    ends = [3, 4, 9, 11]
+    expected = [(p, q) for a, b in zip(firsts, ends, strict=True) for p in range(a, b) for q in range(p + 1, b)]
+    for most in (1, 3, 100):
+        monkeypatch.setattr(jaccard_join, "PAIRS", most)
+        got = [(int(p), int(q)) for x, y in jaccard_join._pairs_of_runs(firsts, n) for p, q in zip(x, y, strict=True)]
+        assert got == expected
+
+
+def test_crowded_buckets_are_compared_in_blocks(spark, monkeypatch):
+    """All pairs of a bucket with different roots and near bitmaps, once, however the bucket is cut."""
+    rng = random.Random(9)
+    shape = "node bigint, n_shingles bigint, bits binary"
+    base = rng.getrandbits(1024)
+    nodes = [(i, 100, (base ^ sum(1 << rng.randrange(1024) for _ in range(rng.choice([3, 30])))).to_bytes(128)) for i in range(40)]
+    bits, root = {i: int.from_bytes(b) for i, _, b in nodes}, {i: i % 17 for i in range(40)}
+    buckets = {5: range(40), 6: range(0, 40, 3), 7: [1, 2]}
+    rows = [(same, len(list(m)), i, root[i]) for same, m in buckets.items() for i in m]
+    looked_at = spark.createDataFrame(rows, "same bigint, size bigint, node bigint, root bigint")
+    expected = {
+        (a, b) for m in buckets.values() for a in m for b in m
+        if a < b and root[a] != root[b] and 180 * (bits[a] ^ bits[b]).bit_count() <= 20 * 200
+    }
+    assert 10 < len(expected) < 700
+    for crowd in (1024, 7, 1):
+        monkeypatch.setattr(jaccard_join, "CROWD", crowd)
+        found = jaccard_join._crossing_pairs(looked_at, spark.createDataFrame(nodes, shape), 80).collect()
+        assert sorted((r.a, r.b) for r in found) == sorted(expected)
+
+
+def test_a_run_may_go_on_in_the_next_batch():
+    import pyarrow as pa
+
+    names = ["same", "unit", "side", "alone", "node", "root", "n", "bits"]
+    rows = [(s, 0, 0, True, i, i, 50, bytes(128)) for s, i in [(1, 1), (1, 2), (1, 3), (2, 4), (2, 5), (3, 6)]]
+    for size in (1, 2, 4, 10):
+        parts = [rows[i : i + size] for i in range(0, len(rows), size)]
+        batches = [pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*p, strict=True)], names) for p in parts]
+        got = [(a, b) for out in jaccard_join._crossing(80)(iter(batches)) for a, b in zip(*out.to_pydict().values(), strict=True)]
+        assert got == [(1, 2), (1, 3), (2, 3), (4, 5)]
+
+
+def test_what_is_kept_of_a_text_stands_as_it_was(spark):
+    passage = " ".join(f"p{i}" for i in range(20))
+    rows = [
+        (1, f"Zero line\n\n{passage}\n"), (2, f"  First line\there\n\n{passage}\nLast  line \n"), (3, passage), (4, "\n untouched  text\n"),
+        (5, f"a {passage}"), (6, None), (7, " \n"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r.doc_id: r.kept for r in substring_dedup.remove_repeats(docs, as_is=True).collect()}
+    assert got[1] == rows[0][1] and got[2] == "  First line\there\n\nLast  line \n" and got[3] == "" and got[4] == rows[3][1]
+    assert got[5] == "a " and got[6] in ("", None) and got[7] == " \n"
+
+
+def test_recent_keys_are_looked_up_and_old_ones_made_again(monkeypatch):
+    monkeypatch.setattr(bpe, "RECENT", 2)
+    made = []
+    recent = bpe.Recent(lambda key: made.append(key) or key.encode())
+    for key in "abacadaeaa":
+        assert recent(key) == key.encode()
+    assert made.count("a") <= 2 and len(recent.young) + len(recent.old) <= 4
+    long = "x" * 100
+    assert recent(long) == recent(long) == long.encode() and made.count(long) == 2
