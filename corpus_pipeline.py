@@ -58,8 +58,8 @@ def near_duplicate_groups(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the passages that a smaller id has; those of which nothing is left go."""
-    kept = remove_repeats(docs.select(*COLUMNS), text="__kept")
+    """Documents without the passages that a smaller id has, else as they stand; those of which nothing is left go."""
+    kept = remove_repeats(docs.select(*COLUMNS), text="__kept", as_is=True)
     changed = F.col("n_removed") > 0
     text = F.when(changed, F.col("__kept")).otherwise(F.col("text"))
     left = kept.filter("n_removed = 0 OR n_removed < n_words")
