@@ -62,8 +62,8 @@ CROWD, PAIRS = 1024, 1 << 15
 #: Bits of a node's bitmap.
 BITS = 1024
 
-#: Bits of the filter that keeps most texts without need from being sent (1 MB, whatever the input).
-FILTER_BITS = 1 << 23
+#: Bits, at least and at most, of the filter that keeps most texts without need from being sent (1 to 16 MB).
+FILTER_BITS = 1 << 23, 1 << 27
 
 _U = np.uint64
 
@@ -237,13 +237,18 @@ def keys_of(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) ->
 
 
 def _needed_filter(needed: DataFrame) -> np.ndarray:
-    """A bit for each id modulo ``FILTER_BITS``; of fixed size."""
+    """A bit for each id modulo the filter's bits: some 16 for each id, within ``FILTER_BITS``."""
+    least, most = FILTER_BITS
+    bits = least
+    wanted = 16 * needed.count()
+    while bits < wanted and bits < most:
+        bits *= 2
     known = F.coalesce("doc_id", F.lit(0))  # as in may_be_needed
-    place, bit = F.pmod(known, F.lit(FILTER_BITS)), F.pmod(known, F.lit(64)).cast("int")
+    place, bit = F.pmod(known, F.lit(bits)), F.pmod(known, F.lit(64)).cast("int")
     words = needed.select(F.floor(place / 64).alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), bit).alias("bit"))
-    found = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).collect()
-    out = np.zeros(FILTER_BITS // 64, np.int64)
-    out[[r["word"] for r in found]] = [r["bits"] for r in found]
+    found = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toPandas()
+    out = np.zeros(bits // 64, np.int64)
+    out[found["word"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64)
     return out
 
 
@@ -272,7 +277,7 @@ def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, shingle: int,
     def may_be_needed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = np.asarray(batch.column("doc_id").fill_null(0))
-            place = ids % FILTER_BITS
+            place = ids % (64 * len(filter_bits.value))
             yield batch.filter(pa.array((filter_bits.value[place >> 6] >> (ids & 63)) & 1 == 1))
 
     def make(ids, elements, first):
@@ -281,10 +286,9 @@ def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, shingle: int,
         return {"doc_id": ids, "node": _nodes(elements, first), "elements": pa.array(sets, pa.binary())}
 
     texts = docs.select("doc_id", "text").mapInArrow(may_be_needed, "doc_id bigint, text string")
-    sets = texts.mapInArrow(_each(shingle, make), "doc_id bigint, node bigint, elements binary")
-    wanted = needed.select(F.col("doc_id").alias("wanted_id"), F.col("node").alias("wanted"))
-    found = (F.col("node") == F.col("wanted")) & F.col("doc_id").eqNullSafe(F.col("wanted_id"))
-    sets = sets.join(wanted, found).dropDuplicates(["node"]).select("node", "elements")
+    sets = texts.mapInArrow(_each(shingle, make), "doc_id bigint, node bigint, elements binary").drop("doc_id")
+    # sets are dealt out once, by node: equal sets are one, whichever text it is from
+    sets = sets.join(needed.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"])
     with_a = likely.select("node_a", "node_b").join(
         sets.select(F.col("node").alias("node_a"), F.col("elements").alias("e_a")), "node_a"
     )
