@@ -14,6 +14,7 @@ from shelfscan.plans import staging as staging_plan
 from shelfscan.plans.ingest import ingest, load_name, merge_into_raw, read_changes, read_raw
 from shelfscan.plans.quality import mart_checks, staging_checks
 from shelfscan.sources.dimensions import health_claims, load_seed
+from shelfscan.sources.parts import delete_folder
 from shelfscan.sources.state import LoadState, append_state, read_state
 from shelfscan.sources.tables import materialize, read_table
 
@@ -108,6 +109,22 @@ def run_models(
     return stg, mart
 
 
+def remove_old_models(spark: SparkSession, root: str, scope: str = "brazil", backend: str = "spark", keep: int = 2) -> list[str]:
+    """Deletes the models' versions before the last ``keep`` published ones; returns what was deleted.
+
+    A build that failed left the folders of the version after the published one: they stay,
+    the next build replaces them.
+    """
+    published = read_state(spark, f"{root}/state", models_name(scope, backend)).version
+    removed = []
+    for model in MODELS:
+        for version in range(1, published - keep + 1):
+            path = model_path(root, scope, backend, model, version)
+            if delete_folder(spark, path):
+                removed.append(path)
+    return removed
+
+
 def counts_name(scope: str, backend: str = "spark") -> str:
     """The name under which the state of a scope's category counts is kept."""
     return f"category_counts_{backend}_{scope.lower()}"

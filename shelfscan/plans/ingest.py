@@ -56,6 +56,7 @@ def merge_into_raw(
     schema: T.StructType = schemas.RAW,
     buckets: int | None = None,
     log_changes: bool = False,
+    batch: tuple[str, int] | None = None,
 ) -> LoadState:
     """Upserts a delta into the raw table of a load and advances its cursor.
 
@@ -74,8 +75,13 @@ def merge_into_raw(
     ``log_changes``: also write what the merge replaces and puts in place, with a
     sign (see ``operators.changes``); ``read_changes`` gives it. The first load has
     no log.
+
+    ``batch``: a stream's id and the number of its micro-batch. The state keeps them, so
+    a batch that was merged before the stream could note it is not merged again.
     """
     state = read_state(spark, f"{root}/state", name)
+    if batch and batch[0] == state.stream and batch[1] <= state.batch:
+        return state
     buckets = buckets or _buckets_for(spark, delta, state, root, name)
     same = buckets == state.buckets
     touched = touched_parts(delta, keys, buckets) if state.version else []
@@ -97,7 +103,8 @@ def merge_into_raw(
     for part in touched if same else ():
         parts[part] = label
     newest = seen.get["newest"]
-    state = LoadState(name, version, max(state.cursor, newest or 0), slot, buckets, tuple(parts))
+    cursor = max(state.cursor, newest or 0)
+    state = LoadState(name, version, cursor, slot, buckets, tuple(parts), *(batch or (state.stream, state.batch)))
     append_state(spark, f"{root}/state", state)
     return state
 

@@ -95,4 +95,9 @@ LOAD_STATE = _struct(
     slot=T.StringType(),
     buckets=T.IntegerType(),
     parts=_tags,
+    stream=T.StringType(),
+    batch=T.LongType(),
 )
+
+#: One row per file that a load has taken.
+LEDGER = _struct(load=T.StringType(), file=T.StringType(), length=T.LongType())

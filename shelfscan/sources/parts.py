@@ -105,6 +105,12 @@ def _files(spark: SparkSession, path: str):
     return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
 
 
+def delete_folder(spark: SparkSession, path: str) -> bool:
+    """Deletes a folder; whether it was there."""
+    system, folder = _files(spark, path)
+    return bool(system.delete(folder, True))
+
+
 def bytes_of(spark: SparkSession, path: str, labels: Sequence[str]) -> int:
     """Bytes of the parts' current folders."""
     total = 0

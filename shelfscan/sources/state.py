@@ -17,7 +17,8 @@ class LoadState:
     """What the last finished load left behind.
 
     ``slot``: a and b in turn. ``parts``: of a table in parts, the label of each part's
-    current folder.
+    current folder. ``stream`` and ``batch``: the stream whose micro-batch was merged last,
+    and that batch's number.
     """
 
     name: str
@@ -26,6 +27,8 @@ class LoadState:
     slot: str = ""
     buckets: int = 0
     parts: tuple[str, ...] = ()
+    stream: str = ""
+    batch: int = -1
 
 
 def read_state(spark: SparkSession, path: str, name: str) -> LoadState:
@@ -42,14 +45,15 @@ def read_state(spark: SparkSession, path: str, name: str) -> LoadState:
         return LoadState(name)
     row = (
         states.filter(F.col("name") == name)
-        .agg(F.max(F.struct("version", "cursor", "slot", "buckets", "parts")).alias("last"))
+        .agg(F.max(F.struct(*schemas.LOAD_STATE.names[1:])).alias("last"))
         .first()
     )
     return _state(name, row.last) if row.last else LoadState(name)
 
 
 def _state(name: str, row: Row) -> LoadState:
-    return LoadState(name, **{**row.asDict(), "parts": tuple(row.parts or ())})
+    known = {k: v for k, v in row.asDict().items() if v is not None}  # states from before a column was added
+    return LoadState(name, **{**known, "parts": tuple(row.parts or ())})
 
 
 def last_states(spark: SparkSession, path: str, name: str, many: int) -> list[LoadState]:

@@ -2,11 +2,14 @@
 
 Each micro-batch goes through the same flattening and the same upsert as the
 batch load. The stream's checkpoint remembers which files were taken, so the
-cursor is not used to select rows; replaying a batch changes nothing.
+cursor is not used to select rows. The load's state keeps the stream's id and the
+number of the last merged batch: a batch that is replayed writes nothing.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -24,6 +27,11 @@ def checkpoint_folder(spark: SparkSession, name: str) -> str:
     return f"{shared.rstrip('/')}/{name}"
 
 
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id of the stream that a checkpoint folder belongs to; a new folder is a new stream, its batches count anew."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+
+
 def _stored(spark: SparkSession, source_dir: str) -> T.StructType:
     """The used columns with the types the files have; the declared ones while there are no files."""
     try:
@@ -48,10 +56,12 @@ def stream_into_raw(
     The models of this load are built with ``backend="stream"``.
     """
     name = load_name(scope, backend="stream")
+    checkpoint = checkpoint or checkpoint_folder(spark, name)
 
     def merge(batch: DataFrame, batch_id: int) -> None:
+        session = batch.sparkSession
         delta = ingest(batch, scope, cutoff=0)
-        merge_into_raw(batch.sparkSession, delta, root, name, buckets=buckets)
+        merge_into_raw(session, delta, root, name, buckets=buckets, batch=(stream_id(session, checkpoint), batch_id))
 
     arriving = (
         spark.readStream.schema(_stored(spark, source_dir))
@@ -60,7 +70,7 @@ def stream_into_raw(
     )
     return (
         arriving.writeStream.foreachBatch(merge)
-        .option("checkpointLocation", checkpoint or checkpoint_folder(spark, name))
+        .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )

@@ -1,0 +1,66 @@
+"""New input by a ledger of files."""
+
+from __future__ import annotations
+
+import os
+import shutil
+import tempfile
+
+from shelfscan.sources import fresh_files, listed_files, note_taken, read_files, read_ledger
+
+SCHEMA = "id bigint"
+
+
+def land(spark, folder, name, n, time):
+    """One file of n rows with a name and a time."""
+    made = f"{tempfile.mkdtemp()}/made"
+    spark.range(n).coalesce(1).write.parquet(made)
+    os.makedirs(folder, exist_ok=True)
+    file = next(f for f in os.listdir(made) if f.endswith(".parquet"))
+    shutil.copy(f"{made}/{file}", f"{folder}/{name}.parquet")
+    os.utime(f"{folder}/{name}.parquet", (time, time))
+
+
+def take(spark, folder, ledger, load="daily"):
+    files = fresh_files(listed_files(spark, folder), read_ledger(spark, ledger), load)
+    names, rows = sorted(r.file for r in files.collect()), read_files(spark, files, spark.range(0).schema).count()
+    note_taken(files, ledger, load)
+    return names, rows
+
+
+def test_late_files_are_taken_and_copies_are_not(spark, tmp_path):
+    folder, ledger = str(tmp_path / "exports"), str(tmp_path / "ledger")
+    land(spark, folder, "one", 10, 2_000_000_000)
+    land(spark, folder, "two", 20, 2_000_000_000)
+    assert take(spark, folder, ledger) == (["one.parquet", "two.parquet"], 30)
+    assert take(spark, folder, ledger) == ([], 0)
+    # late, with an older time than what was taken
+    land(spark, folder, "late", 5, 1_000_000_000)
+    # a copy in another folder, with a newer time
+    os.makedirs(f"{folder}/again")
+    shutil.copyfile(f"{folder}/one.parquet", f"{folder}/again/one.parquet")
+    os.utime(f"{folder}/again/one.parquet", (2_100_000_000,) * 2)
+    assert take(spark, folder, ledger) == (["late.parquet"], 5)
+    # the same name with other content is another file
+    land(spark, f"{folder}/more", "two", 50_000, 1)
+    assert take(spark, folder, ledger) == (["two.parquet"], 50_000)
+    # another load has its own ledger rows; of copies it takes one
+    assert take(spark, folder, ledger, "other") == (["late.parquet", "one.parquet", "two.parquet", "two.parquet"], 50_035)
+
+
+def test_a_failed_load_takes_its_files_again(spark, tmp_path):
+    folder, ledger = str(tmp_path / "exports"), str(tmp_path / "ledger")
+    land(spark, folder, "one", 10, 1)
+    files = fresh_files(listed_files(spark, folder), read_ledger(spark, ledger), "daily")
+    assert files.count() == 1  # and then the load fails, before the files are noted
+    assert take(spark, folder, ledger) == (["one.parquet"], 10)
+
+
+def test_only_fresh_files_are_read(spark, tmp_path):
+    folder, ledger = str(tmp_path / "exports"), str(tmp_path / "ledger")
+    land(spark, folder, "one", 10, 1)
+    take(spark, folder, ledger)
+    land(spark, folder, "two", 20, 1)
+    files = fresh_files(listed_files(spark, folder), read_ledger(spark, ledger), "daily")
+    rows = read_files(spark, files, spark.range(0).schema)
+    assert [os.path.basename(f) for f in rows.inputFiles()] == ["two.parquet"]

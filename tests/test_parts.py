@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from shelfscan import schemas
 from shelfscan.operators import changes, upsert
-from shelfscan.plans.build import read_model, run_load, run_models, update_mart
+from shelfscan.plans.build import read_model, remove_old_models, run_load, run_models, update_mart
 from shelfscan.plans.ingest import ingest, load_name, merge_into_raw, read_changes, read_raw, remove_old_raw
 from shelfscan.sources.parts import part_of, parts_of
 from shelfscan.sources.state import read_state
@@ -167,3 +167,14 @@ def test_merging_a_small_delta_costs_what_it_touches(spark, source_rows, tmp_pat
     merge_into_raw(spark, source.limit(10).withColumn("last_modified_t", F.lit(2).cast("bigint")), root, name)
     assert size() - whole < whole * 10 / 100
     assert read_raw(spark, root, name).filter("last_modified_t = 2").count() == 10
+
+
+def test_old_models_are_removed(spark, source_rows, tmp_path):
+    root = str(tmp_path)
+    run_load(spark, source_rows(product(1, 1, 4)), root)
+    for _ in range(4):
+        run_models(spark, root)
+    folders = lambda: sorted(os.path.basename(f) for f in glob.glob(f"{root}/models_spark_brazil/stg_products/*"))
+    assert len(remove_old_models(spark, root)) == 4
+    assert folders() == ["version=3", "version=4"] and remove_old_models(spark, root) == []
+    assert read_model(spark, root, "stg_products").count() == 1

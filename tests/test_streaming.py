@@ -1,11 +1,15 @@
 from __future__ import annotations
 
+import glob
+import os
+
 import pytest
 
 from shelfscan.plans.build import run_models
-from shelfscan.plans.ingest import load_name, read_raw
+from shelfscan.plans.ingest import ingest, load_name, merge_into_raw, read_raw
+from shelfscan.sources import read_state
 from shelfscan.streaming import stream_into_raw
-from shelfscan.streaming.incremental import checkpoint_folder
+from shelfscan.streaming.incremental import checkpoint_folder, stream_id
 
 
 def test_arriving_files_are_merged_once(spark, source_rows, tmp_path):
@@ -27,6 +31,34 @@ def test_arriving_files_are_merged_once(spark, source_rows, tmp_path):
     assert sorted(r.product_id for r in stg.collect()) == ["7891", "7892"]
 
 
+def test_a_finished_batch_is_not_merged_again(spark, source_rows, tmp_path):
+    root, name = str(tmp_path), load_name("replayed", backend="stream")
+    delta = ingest(source_rows({"code": "7891", "last_modified_t": 5}))
+    first = merge_into_raw(spark, delta, root, name, buckets=2, batch=("s1", 0))
+    written = sorted(glob.glob(f"{root}/**/*.parquet", recursive=True))
+    assert merge_into_raw(spark, delta, root, name, batch=("s1", 0)) == first
+    assert sorted(glob.glob(f"{root}/**/*.parquet", recursive=True)) == written
+    assert merge_into_raw(spark, delta, root, name, batch=("s1", 1)).version == 2
+    # a new checkpoint folder is a new stream: its numbers begin anew
+    again = merge_into_raw(spark, delta, root, name, batch=("s2", 0))
+    assert (again.version, again.stream, again.batch) == (3, "s2", 0)
+    assert merge_into_raw(spark, delta, root, name).batch == 0
+
+
+def test_a_batch_replayed_by_the_stream_writes_nothing(spark, source_rows, tmp_path):
+    source, root, checkpoint = (str(tmp_path / x) for x in ("exports", "tables", "checkpoint"))
+    name = load_name("brazil", backend="stream")
+    source_rows({"code": "7891", "last_modified_t": 5}).write.parquet(source)
+    run = lambda: stream_into_raw(spark, source, root, buckets=2, checkpoint=checkpoint).awaitTermination(120)
+    run()
+    state = read_state(spark, f"{root}/state", name)
+    assert (state.version, state.batch) == (1, 0) and state.stream == stream_id(spark, checkpoint)
+    for commit in glob.glob(f"{checkpoint}/commits/*") + glob.glob(f"{checkpoint}/commits/.*.crc"):
+        os.remove(commit)  # as if the driver was lost between the merge and the stream's note of it
+    run()
+    assert read_state(spark, f"{root}/state", name) == state
+
+
 def test_checkpoint_folder_comes_from_the_session(spark):
     assert checkpoint_folder(spark, "x").endswith("/checkpoint/x")
 
