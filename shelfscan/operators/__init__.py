@@ -18,6 +18,7 @@ from shelfscan.operators.filters import (
     since,
     with_controls,
 )
+from shelfscan.operators.grams import gram_search, pattern_grams, trigram_postings
 from shelfscan.operators.merge import changes, latest_per_key, upsert
 from shelfscan.operators.tags import (
     arrays_to_json,
@@ -39,6 +40,7 @@ __all__ = [
     "dense_numbers",
     "distinct_bitmaps",
     "explode_tags",
+    "gram_search",
     "group_mode",
     "in_scope",
     "latest_per_key",
@@ -46,6 +48,7 @@ __all__ = [
     "match_joined",
     "merge_bitmaps",
     "min_support",
+    "pattern_grams",
     "require",
     "scope_filter",
     "search",
@@ -54,6 +57,7 @@ __all__ = [
     "since",
     "tag_join",
     "top_k",
+    "trigram_postings",
     "upsert",
     "with_controls",
 ]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, functions as F
 
 from shelfscan.functions import (
@@ -24,6 +26,7 @@ from shelfscan.operators import (
     count_distinct_bitmaps,
     distinct_bitmaps,
     explode_tags,
+    gram_search,
     group_mode,
     min_support,
     search,
@@ -257,9 +260,14 @@ def claims_on_nova4(stg: DataFrame) -> DataFrame:
     )
 
 
-def product_search(stg: DataFrame, name: str, category: str, k: int = 100) -> DataFrame:
-    """Products by name and category wildcard, whatever the case, most processed first."""
-    found = search(stg, {"product_name": name, "categories": category})
+def product_search(
+    stg: DataFrame, name: str, category: str, k: int = 100, postings: Mapping[str, DataFrame] | None = None
+) -> DataFrame:
+    """Products by name and category wildcard, whatever the case, most processed first.
+
+    ``postings``: trigram postings of the columns, where they are kept.
+    """
+    found = gram_search(stg, "product_id", {"product_name": name, "categories": category}, postings or {})
     top = top_k(found, "nova_group", k, ties=["product_id"])
     return top.select("product_name", "brands", "ingredients_text", "nova_group")
 

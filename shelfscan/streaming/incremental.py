@@ -9,9 +9,10 @@ number of the last merged batch: a batch that is replayed writes nothing.
 from __future__ import annotations
 
 import json
+from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from shelfscan import schemas
@@ -74,3 +75,16 @@ def stream_into_raw(
         .trigger(availableNow=True)
         .start()
     )
+
+
+def newest_per_key(stream: DataFrame, keys: Sequence[str], order_col: str) -> DataFrame:
+    """The newest row of each key of a stream, for a sink in update mode.
+
+    A micro-batch emits the keys it has rows of, with their newest row so far; the
+    state store keeps one row per key, so nothing older is read again. Same rows, and the
+    same choice between equal stamps, as ``operators.latest_per_key``. Rows are compared
+    in the tasks that read them first, so a hot key sends one row per task.
+    """
+    rest = [c for c in stream.columns if c not in keys and c != order_col]
+    newest = stream.groupBy(*keys).agg(F.max(F.struct(order_col, *rest)).alias("_row"))
+    return newest.select(*keys, "_row.*").select(*stream.columns)

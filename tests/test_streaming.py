@@ -9,7 +9,8 @@ from shelfscan.plans.build import run_models
 from shelfscan.plans.ingest import ingest, load_name, merge_into_raw, read_raw
 from shelfscan.sources import read_state
 from shelfscan.streaming import stream_into_raw
-from shelfscan.streaming.incremental import checkpoint_folder, stream_id
+from shelfscan.operators import latest_per_key
+from shelfscan.streaming.incremental import checkpoint_folder, newest_per_key, stream_id
 
 
 def test_arriving_files_are_merged_once(spark, source_rows, tmp_path):
@@ -72,3 +73,30 @@ def test_checkpoint_folder_must_be_known(spark):
 
     with pytest.raises(ValueError):
         checkpoint_folder(Unset, "x")
+
+
+def test_newest_rows_of_a_stream(spark, tmp_path):
+    """Batch by batch only touched keys come; all together are what the batch operator gives."""
+    source, schema = str(tmp_path / "rows"), "code string, t bigint, v string, tags array<string>"
+    parts = [
+        [("a", 5, "x", ["p"]), ("a", 5, "y", None), ("b", None, "x", []), ("hot", 1, "x", None)],
+        [("a", 4, "late", None), ("c", 1, None, ["q"]), *[("hot", i, f"v{i}", None) for i in range(500)]],
+        [("b", 1, "z", ["r"])],
+    ]
+    known, touched = {}, []
+
+    def keep(batch, _):
+        rows = batch.collect()
+        touched.append(sorted(r.code for r in rows))
+        known.update({r.code: tuple(r) for r in rows})
+
+    for i, part in enumerate(parts):
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(source)
+        stream = newest_per_key(spark.readStream.schema(schema).parquet(source), ["code"], "t")
+        query = stream.writeStream.outputMode("update").foreachBatch(keep)
+        query = query.option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start()
+        query.awaitTermination(120)
+        everything = spark.createDataFrame(sum(parts[: i + 1], []), schema)
+        expected = {r.code: tuple(r) for r in latest_per_key(everything, ["code"], "t").collect()}
+        assert known == expected
+    assert [x for x in touched if x] == [["a", "b", "hot"], ["a", "c", "hot"], ["b"]]
