@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -94,16 +95,138 @@ def test_copies_are_no_template(spark):
     assert [got[i] for i in range(len(rows))] == whole
 
 
-def test_samples_of_pages_do_not_depend_on_the_order():
-    trees = [wrapper._fold(wrapper.parse(f"<body><div>Same</div><p>{i % 150}</p>{'<h2>x</h2>' * (i % 5 == 0)}</body>")) for i in range(300)]
-    found = []
-    for part in (trees, trees[::-1]):
-        out = wrapper._slots(part[0])
-        for tree in part[1:]:
-            out = wrapper._joined(out, wrapper._slots(tree, wrapper._most(out)))
-        found.append(out)
-    least = sorted({wrapper._page(t) for t in trees})[: wrapper.SAMPLE]
-    assert found[0] == found[1] and found[0][2] == least
+def wrapper_of(pages):
+    """The wrapper of pages, by the plain rule: equal ones once, one after the other."""
+    trees = {wrapper._page(t): t for t in map(wrapper._fold, map(wrapper.parse, pages))}
+    out = None
+    for tree in trees.values():
+        out = wrapper._merged(out, wrapper._slots(tree)) if out else wrapper._slots(tree)
+    return wrapper._read(wrapper._written(out))
+
+
+def test_slots_count_all_different_pages_in_any_order(spark):
+    pages = [f"<body><div>Same</div><p>{i % 150}</p>{'<h2>x</h2>' * (i % 5 == 0)}</body>" for i in range(300)]
+    found = wrapper_of(pages)
+    assert found.listed() == wrapper_of(pages[::-1]).listed()
+    assert found.pages == 150 and [c.pages for c in found.children[0].children] == [150, 150, 30]
+    rows = [(i, "http://h.example/", page) for i, page in enumerate(pages)]
+    table = spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(7)
+    assert [r.wrapper for r in wrapper.induce(table).collect()] == [wrapper._written(found)]
+
+
+def test_template_equals_a_plain_count(spark):
+    blocks = {"h1": "Title {0}", "h2": "Seen by all of our readers", "p": "Text {0}", "pre": "On some pages", "div": "Call {1}"}
+    pages = []
+    for i in range(24):
+        has = [t for k, t in enumerate(blocks) if t in ("h1", "p") or (i + k) % (2 + k) != 0]
+        pages.append("<body>" + "".join(f"<{t}>{blocks[t].format(i, i % 2)}</{t}>" for t in has) + "</body>")
+    found = wrapper_of(pages)
+    texts = {t: [re.findall(f"<{t}>(.*?)</{t}>", p) for p in pages] for t in blocks}
+    for i, page in enumerate(pages):
+        left = []
+        for tag in blocks:
+            held = [x[0] for x in texts[tag] if x]
+            constant = len(set(held)) == 1 and 2 * len(held) > len(pages)
+            if texts[tag][i] and (not constant or tag == "h2"):  # a heading stays before content
+                left += texts[tag][i]
+        assert wrapper.main_text(page, found) == "\n".join(left)
+
+
+def test_matches_equal_a_plain_table():
+    chance = random.Random(5)
+
+    def tree(levels):
+        below = [tree(levels - 1) for _ in range(chance.randrange(5))] if levels else []
+        return wrapper.Slot(chance.choice("abc"), below, 1, 0)
+
+    def plain(a, b):
+        if a.label != b.label:
+            return 0
+        rows = [[0] * (len(b.children) + 1)]
+        for x in a.children:
+            row = [0]
+            for j, y in enumerate(b.children):
+                row.append(max(rows[-1][j + 1], row[j], rows[-1][j] + plain(x, y)))
+            rows.append(row)
+        return 1 + rows[-1][-1]
+
+    cells = wrapper.CELLS
+    for n in range(300):
+        a, b = (wrapper.Slot("r", [tree(2) for _ in range(chance.randrange(7))], 1, 0) for _ in "ab")
+        assert wrapper._match(a, b, {}) == plain(a, b)
+        try:
+            wrapper.CELLS = 4 if n % 2 else cells
+            pairs = wrapper._aligned(a.children, b.children)
+        finally:
+            wrapper.CELLS = cells
+        assert [x for x, _ in pairs if x] == a.children and [y for _, y in pairs if y] == b.children
+        if [x.label for x in a.children] != [y.label for y in b.children]:
+            assert 1 + sum(plain(x, y) for x, y in pairs if x and y) == plain(a, b)
+
+
+def test_fixed_titles_of_articles_stay():
+    recipe = (
+        "<h1>Cake {0}</h1><p>How we have baked cake number {0} all these years</p><h2>Ingredients</h2><p>Flour and eggs {0}</p>"
+        "<p>Good luck</p><h2>Method</h2><pre>See <b>below</b></pre><p>Bake it for {0} minutes or more</p>"
+    )
+    after = "<h2>Newsletter</h2><pre>Sign up</pre>"
+    for page in ("<body><article>{}</article></body>", "<body><div>Cakes of the world</div><div>{}</div></body>"):
+        pages = [page.format(recipe.format(i) + after) for i in range(9)]
+        found = wrapper_of(pages)
+        marked = "article" in page
+        want = "Cake 3\nHow we have baked cake number 3 all these years\nIngredients\nFlour and eggs 3\nGood luck\nMethod\n"
+        assert wrapper.main_text(pages[3], found) == want + "See below\n" * marked + "Bake it for 3 minutes or more"
+
+
+def test_formulas_and_other_things_within_a_line():
+    line = (
+        "<p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>x=1</annotation></math> be <svg><g/><text>no</text></svg> one"
+        "<script>x</script> or <button>Press</button>two</p>"
+    )
+    assert wrapper.main_text(line) == "Let x=1 be one or two"
+
+
+def test_headlines_references_and_comments():
+    head = "<body><div id=main><header><h1>The headline</h1></header><p>Body text</p></div></body>"
+    assert wrapper.main_text(head) == "The headline\nBody text"
+    site = "<body><header><h1>Site</h1></header><div><header><h1>Site</h1><ul><li>Home</ul></header><p>Body text</p></div></body>"
+    assert wrapper.main_text(site) == "Body text"
+    cited = "<body><div id=c><p>An intro of quite a few words</p><ul><li><a href=x>Smith 2001, On cakes</a></li></ul></div></body>"
+    assert wrapper.main_text(cited) == "An intro of quite a few words\nSmith 2001, On cakes"
+    menu = "<body><div><ul><li><a href=x>Home</a></li></ul><p>Story {0} of quite a few words</p><ul><li><a>Next {0}</a></ul></div></body>"
+    pages = [menu.format(i) for i in range(5)]
+    assert wrapper.main_text(pages[2], wrapper_of(pages)) == "Story 2 of quite a few words"
+    notes = '<article><p>Story</p><div class="post-comments">nice</div><div class="author-newsletter-box">send</div></article>'
+    assert wrapper.main_text(notes) == "Story"
+
+
+def test_deep_and_long_pages():
+    for n in (900, 100_000):
+        deep = "".join(f"<div>t{i}" for i in range(n)) + "".join(f"</div>e{i}" for i in range(n))
+        assert wrapper.main_text(deep).split("\n") == [f"t{i}" for i in range(n)] + [f"e{i}" for i in range(n)]
+    hidden = "<div>" * 300 + "a<nav><div>menu</div></nav>b<div class=ad>Buy<p>now</p></div>c" + "</div>" * 300 + "<p>d</p>"
+    assert wrapper.main_text(hidden) == "a\nb\nc\nd"
+    letters = "abcdefghij"
+    pages = [
+        "<body>" + "".join(f'<p class="{"".join(letters[int(c)] for c in str(i))}{k}z">t{i}{k}</p>' for i in range(20_000)) + "</body>"
+        for k in ("x", "y")
+    ]
+    began = time.process_time()
+    found = wrapper_of(pages)
+    assert time.process_time() - began < 20 and len(found.children[0].children) == 40_000
+
+
+def test_pages_of_any_columns(spark):
+    schema = "page_id bigint, url string, html string, host string, `__html` array<int>, wrapper string, text string"
+    rows = [(2**53 + 1, "http://a.example/", "<p>One</p>", "h", [1], "w", "old"), (None, None, None, None, None, None, None)] * 2
+    pages = spark.createDataFrame(rows, schema)
+    got = wrapper.extract(pages, wrapper.induce(pages))
+    assert got.columns == ["page_id", "url", "host", "__html", "wrapper", "text"]
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(
+        [(2**53 + 1, "http://a.example/", "h", [1], "w", "One"), (None, None, None, None, None, "")] * 2, key=str
+    )
+    none = pages.limit(0)
+    assert wrapper.extract(none, wrapper.induce(none)).collect() == []
 
 
 def test_odd_pages_have_a_text():
