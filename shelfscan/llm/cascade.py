@@ -10,7 +10,12 @@ windows are found per text by sorting its windows with their places, so that no
 row meets another.
 
 Defined results: a null text has no words and fails the base rule, as an empty
-one does. A rule whose condition is null rejects nothing.
+one does. A rule whose condition is null rejects nothing. Rows are judged one by one:
+equal ones get equal verdicts, rows without an id theirs, an empty table an empty
+result. A text of any length is read whole, within its own row. Columns of the input
+stay, but for those named as a count or verdict (``n_words``, ``word_chars``,
+``n_symbols``, ``n_dup_lines``, ``n_repeat_words``, ``base_failed``, ``kept``), which are
+replaced, and names that begin with ``_rule_``, which are reserved.
 """
 
 from __future__ import annotations
@@ -26,6 +31,9 @@ _SYMBOLS = r"[#*$%&|<>]+"
 #: Share of rows looked at, and rows at most, to estimate cost and selectivity.
 SAMPLE_SHARE, SAMPLE_ROWS = 0.02, 2000
 
+#: Columns that only the rules see.
+WORDS, LINES = "_rule_words", "_rule_lines"
+
 
 class Rule(NamedTuple):
     """Rows for which ``rejects`` holds go."""
@@ -47,22 +55,22 @@ class Estimate(NamedTuple):
 def measured(docs: DataFrame, text: str = "text", window: int = 3) -> DataFrame:
     """``docs`` with its words (array) and counts.
 
-    Added: words, n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words.
+    Added: _rule_words, _rule_lines (number of lines with a word), n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words.
     """
     body = F.coalesce(F.col(text), F.lit(""))
     lines = F.filter(F.split(body, "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
     out = docs.withColumns({
-        "words": F.filter(F.split(body, _SPACE), lambda w: w != ""),
-        "lines": lines,
+        WORDS: F.filter(F.split(body, _SPACE), lambda w: w != ""),
+        "_rule_texts": lines,
         "n_symbols": (F.length(body) - F.length(F.regexp_replace(body, _SYMBOLS, ""))).cast("long"),
     })
     return out.withColumns({
-        "n_words": F.size("words").cast("long"),
-        "word_chars": F.length(F.array_join("words", "")).cast("long"),
-        "n_lines": F.size("lines").cast("long"),
-        "n_dup_lines": (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long"),
-        "n_repeat_words": _repeated(F.col("words"), window).cast("long"),
-    }).drop("lines")
+        "n_words": F.size(WORDS).cast("long"),
+        "word_chars": F.length(F.array_join(WORDS, "")).cast("long"),
+        LINES: F.size("_rule_texts").cast("long"),
+        "n_dup_lines": (F.size("_rule_texts") - F.size(F.array_distinct("_rule_texts"))).cast("long"),
+        "n_repeat_words": _repeated(F.col(WORDS), window).cast("long"),
+    }).drop("_rule_texts")
 
 
 def _let(value: Column, use) -> Column:
@@ -100,14 +108,14 @@ def base_failed(least_words: int = 50, repeated_percent: int = 50) -> Column:
 
 def standard_rules() -> list[Rule]:
     """Rules on the counts of :func:`measured` and on its words."""
-    words, n = F.col("words"), F.col("n_words")
+    words, n = F.col(WORDS), F.col("n_words")
 
     def more(part: Column, percent: int) -> Column:
         return 100 * part > percent * n
 
     return [
         Rule("symbols", more(F.col("n_symbols"), 10)),
-        Rule("repeated_lines", 100 * F.col("n_dup_lines") > 50 * F.col("n_lines")),
+        Rule("repeated_lines", 100 * F.col("n_dup_lines") > 50 * F.col(LINES)),
         Rule("word_length", (F.col("word_chars") < 2 * n) | (F.col("word_chars") > 15 * n)),
         Rule("letterless_words", more(F.size(F.filter(words, lambda w: ~w.rlike(r"\p{L}"))), 30)),
         Rule("shouting", more(F.size(F.filter(words, lambda w: w.endswith("!"))), 30)),
@@ -157,7 +165,7 @@ def judge(docs: DataFrame, rules: list[Rule] | None = None, text: str = "text")
     return counted.withColumns({
         "base_failed": fails,
         "kept": verdict([Rule("base", fails), *order]),
-    }).drop("words", "n_lines")
+    }).drop(WORDS, LINES)
 
 
 def op9_quality_rules(spark, sf_dir: str) -> DataFrame:

@@ -22,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 #: Language of a text that shows none.
 UNDETERMINED = "und"
@@ -235,6 +235,32 @@ def held_out(doc_id: str = "doc_id") -> F.Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 3 == 1, F.lit(False))
 
 
+def _length_class(text: Column) -> Column:
+    """The binary logarithm of a text's length, in whole numbers; 0 for an empty one."""
+    return F.floor(F.log2(F.greatest(F.length(text), F.lit(1)))).cast("int")
+
+
+def least_scores(known: DataFrame, text: str = "text", score: str = "score", dim: int = 512) -> dict[int, float]:
+    """The least score, by length class, of texts in a learnt language: half of what 99 in 100 of ``known`` exceed.
+
+    ``known`` are training rows whose language was found. Short texts score less than long
+    ones, and where that is within three deviations of random vectors, nothing is asked of
+    them; less is asked where a class has few training rows. The classes number some thirty, whatever the number of rows.
+    """
+    classes = known.groupBy(_length_class(F.col(text)).alias("length"))
+    low = classes.agg(F.percentile_approx(score, 0.01, 1000).alias("low"), F.count("*").alias("n"))
+    halves = {row["length"]: row["low"] / 2 * row["n"] / (row["n"] + 20) for row in low.collect()}
+    return {length: half if half > 3 / dim**0.5 else 0.0 for length, half in halves.items()}
+
+
+def is_like(least: dict[int, float], text: str = "text", score: str = "score") -> Column:
+    """Whether a text scores what its length asks for; classes without training rows ask what the next shorter one does."""
+    asked = F.lit(0.0)
+    for length, low in sorted(least.items()):
+        asked = F.when(_length_class(F.col(text)) >= length, F.lit(low)).otherwise(asked)
+    return (F.col(score) > 0) & (F.col(score) >= asked)
+
+
 def op5_language_id(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
     learned = prototypes(docs.filter(~held_out()))

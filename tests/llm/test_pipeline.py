@@ -58,6 +58,19 @@ def test_stages(spark, sf_dir, tmp_path):
     assert {r.doc_id for r in packed.collect()} == {r.doc_id for r in docs.collect()}
 
 
+def test_unlearnt_scripts_go_and_learnt_languages_stay(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    greek, russian = "ελληνικά γράμματα εδώ και τώρα για όλους " * 9, "это текст на русском языке о погоде " * 9
+    short = [(-1, "This.", None, "s", 5), (-2, "Sich auch der und die.", None, "s", 22)]
+    odd = [(-3, greek, None, "s", 9), (-4, russian, "en", "s", 9), (-5, "12 34", "en", "s", 5), (-6, None, "en", "s", 0)]
+    rows = docs.union(spark.createDataFrame([*short, *odd], docs.schema))
+    kept = {r.doc_id for r in corpus_pipeline.language_id(spark, rows, sf_dir).collect()}
+    assert kept & {-1, -2, -3, -4, -5, -6} == {-1, -2}
+    words = {r.doc_id: r.text.split() for r in docs.filter("text is not null").collect()}
+    gone = words.keys() - kept
+    assert len(gone) < 0.01 * len(words) and all(4 * len(set(words[i])) < len(words[i]) for i in gone)
+
+
 def test_one_row_of_each_group_is_kept(spark):
     base, other, third = ([f"{c}{i}" for i in range(60)] for c in "abc")
     text = " ".join

@@ -602,6 +602,9 @@ def test_the_order_of_rules_changes_no_verdict(spark, docs, none):
     assert sorted(one) == sorted(other) and len({r.k for r in one}) == 2
     assert cascade.judge(none).count() == 0
     quick = [cascade.Estimate("a", 1.0, 0.5), cascade.Estimate("b", 0.1, 0.2)]
+    named = docs.limit(20).withColumn("words", F.lit("w")).withColumn("lines", F.lit(3)).withColumn("n_lines", F.lit(4))
+    judged = cascade.judge(named)
+    assert set(judged.columns) >= {*named.columns, "kept"} and judged.filter("words = 'w' AND lines = 3 AND n_lines = 4").count() == 20
     assert [r.name for r in cascade.ordered([cascade.Rule(n, F.lit(True)) for n in "ab"], quick)] == ["b", "a"]
 
 
