@@ -29,10 +29,16 @@ ORACLE_SQL = None
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that is known: undetermined ones, and those like no prototype, go."""
-    learned = langid.prototypes(docs.filter(~langid.held_out()))
-    found = langid.identify(docs.select(*COLUMNS), learned, lang_pred="__lang", score="__score")
-    return found.filter((F.col("__lang") != langid.UNDETERMINED) & (F.col("__score") > 0)).select(*COLUMNS)
+    """Documents in a language that is known: undetermined ones go, and those less like any prototype than
+    its own training documents of that length are."""
+    docs = docs.select(*COLUMNS)
+    training = docs.filter(~langid.held_out())
+    learned = langid.prototypes(training)
+    known = langid.identify(training.select("text", "lang"), learned, lang_pred="__lang", score="__score")
+    least = langid.least_scores(known.filter("lang = __lang"), score="__score")
+    found = langid.identify(docs, learned, lang_pred="__lang", score="__score")
+    like = langid.is_like(least, score="__score")
+    return found.filter((F.col("__lang") != langid.UNDETERMINED) & like).select(*COLUMNS)
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
