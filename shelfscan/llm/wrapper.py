@@ -44,9 +44,10 @@ whatever their names and types, but for ``html`` and one named as the result. Bl
 nested ``DEEPEST`` levels or more stand beside one another at that level, with the marks
 of those they were in; their text is read in page order. Long pages are read whole; equal
 blocks at both ends of two lists of blocks, and blocks with no like on the other side, are
-aligned without a table, the rest with one of at most ``CELLS`` cells at once. Where more
-than ``KINDS`` pairs of different blocks would have to be matched, blocks of one label weigh
-one, and their size where their labels are the same throughout.
+aligned without a table, the rest with one of at most ``CELLS`` cells at once. Every two blocks
+of a label weigh what their trees match, however many there are: a block is matched with
+``FEW`` others one by one, with more of them all at once, to the same sizes. Long lists and
+short ones are paired alike.
 """
 
 from __future__ import annotations
@@ -58,7 +59,7 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from itertools import accumulate
+from itertools import accumulate, chain
 
 import numpy as np
 import pandas as pd
@@ -76,8 +77,11 @@ DEEPEST = 200
 #: Slots that a task holds before it hands on its wrappers.
 MOST_SLOTS = 200_000
 
-#: Cells of a table of matches held at once, and pairs of different blocks matched for one.
-CELLS, KINDS = 1 << 22, 1 << 18
+#: Cells of a table of matches held at once, and different blocks of a label that are matched one by one.
+CELLS, FEW = 1 << 22, 32
+
+#: Pairs of blocks whose match is remembered.
+PAIRS = 1 << 18
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -436,6 +440,8 @@ def _match(a: Tree, b: Tree, same: dict) -> int:
     if key not in same:
         start, left, right, end = _trimmed(a.children, b.children)
         inner = int(_rows(left, right, same)[-1]) if left and right else 0
+        if len(same) >= PAIRS:
+            same.clear()
         same[key] = 1 + sum(c.size for c in a.children[:start]) + inner + sum(c.size for c in end)
     return same[key]
 
@@ -449,6 +455,59 @@ def _trimmed(left: list, right: list) -> tuple[int, list, list, list]:
     return start, left[start : len(left) - end], right[start : len(right) - end], left[len(left) - end :]
 
 
+class Crowd:
+    """Different blocks of one label, to match a block with all of them at once.
+
+    Their lists of blocks stand one after the other in one row of a table. Each begins with a
+    cell that holds more than any match before it can add up to, so that none goes on past it.
+    ``known`` is shared with the crowds below, and must not outlive them.
+    """
+
+    __slots__ = ("begins", "below", "kinds", "known", "size")
+
+    def __init__(self, blocks: list, known: dict):
+        different: dict[str, dict] = {}
+        for child in (c for block in blocks for c in block.children):
+            different.setdefault(child.label, {}).setdefault(child.shape, child)
+        self.known, self.size, self.below = known, len(blocks), {}
+        number, first = {}, 1  # 0: where a list begins
+        for label, kinds in different.items():
+            number.update(zip(((label, shape) for shape in kinds), range(first, first + len(kinds)), strict=True))
+            self.below[label] = first, first + len(kinds), list(kinds.values())
+            first += len(kinds)
+        lists = ([0, *[number[c.label, c.shape] for c in block.children]] for block in blocks)
+        self.kinds = np.fromiter(chain.from_iterable(lists), np.int32)
+        self.begins = np.flatnonzero(self.kinds == 0)
+
+    def sizes(self, x: Tree) -> np.ndarray:
+        """Size of the largest order-keeping match of ``x``, of the same label, with each."""
+        row = self.known.get((id(self), x.shape))
+        if row is None:
+            row = self._sizes(x)
+            if len(row) + self.known.get("cells", 0) > CELLS:
+                self.known.clear()
+            self.known["cells"] = self.known.get("cells", 0) + len(row)
+            self.known[id(self), x.shape] = row
+        return row
+
+    def _sizes(self, x: Tree) -> np.ndarray:
+        number = np.int32 if self.size * x.size < 1 << 31 else np.int64
+        walls = np.arange(self.size, dtype=number) * number(x.size)
+        row = np.repeat(walls, np.diff(self.begins, append=len(self.kinds)))
+        weights = np.zeros(max((end for _, end, _ in self.below.values()), default=1), number)
+        for child in x.children:
+            if child.label not in self.below:
+                continue
+            first, end, kinds = self.below[child.label]
+            if isinstance(kinds, list):
+                kinds = Crowd(kinds, self.known)
+                self.below[child.label] = first, end, kinds
+            weights[first:end] = kinds.sizes(child)
+            row[1:] = np.maximum.accumulate(np.maximum(row[1:], row[:-1] + weights[self.kinds[1:]]))
+            weights[first:end] = 0
+        return (1 + row[np.append(self.begins[1:], len(row)) - 1] - walls).astype(np.int32)
+
+
 def _weights(left: list, right: list, same: dict):
     """A function from a block of ``left`` to its matches with those of ``right``."""
     kinds = {y.shape: y for y in right}
@@ -457,15 +516,23 @@ def _weights(left: list, right: list, same: dict):
     by_label: dict[str, list] = {}
     for i, y in enumerate(kinds.values()):
         by_label.setdefault(y.label, []).append((i, y))
-    pairs = sum(len(by_label.get(x.label, ())) for x in {x.shape: x for x in left}.values())
+    crowds: dict[str, tuple[np.ndarray, Crowd]] = {}
     known: dict[int, np.ndarray] = {}
+    in_crowds: dict = {}
 
     def weights(x: Tree) -> np.ndarray:
         row = known.get(x.shape)
         if row is None:
             row = np.zeros(len(kinds), dtype=np.int32)
-            for i, y in by_label.get(x.label, ()):
-                row[i] = _match(x, y, same) if pairs <= KINDS else x.size if x.shape == y.shape else 1
+            alike = by_label.get(x.label, ())
+            if len(alike) <= FEW:
+                for i, y in alike:
+                    row[i] = _match(x, y, same)
+            else:
+                if x.label not in crowds:
+                    crowds[x.label] = np.array([i for i, _ in alike]), Crowd([y for _, y in alike], in_crowds)
+                at, crowd = crowds[x.label]
+                row[at] = crowd.sizes(x)
             if len(known) * len(kinds) > CELLS:
                 known.clear()
             known[x.shape] = row
@@ -474,39 +541,53 @@ def _weights(left: list, right: list, same: dict):
     return weights
 
 
-def _rows(left: list, right: list, same: dict, table: np.ndarray | None = None) -> np.ndarray:
-    """The last row of the table of matches of the beginnings of two lists; all of it goes to ``table``, if given."""
+def _below(row: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """The row of a table of matches below another."""
+    return np.concatenate((row[:1], np.maximum.accumulate(np.maximum(row[1:], row[:-1] + weight))))
+
+
+def _rows(left: list, right: list, same: dict) -> np.ndarray:
+    """The last row of the table of matches of the beginnings of two lists."""
     weights = _weights(left, right, same)
     row = np.zeros(len(right) + 1, dtype=np.int32)
-    for i, x in enumerate(left):
-        found = np.maximum(row[1:], row[:-1] + weights(x))
-        row = np.concatenate((row[:1], np.maximum.accumulate(found)))
-        if table is not None:
-            table[i + 1] = row
+    for x in left:
+        row = _below(row, weights(x))
     return row
 
 
 def _pairs(left: list, right: list, same: dict) -> list[tuple]:
-    """The pairs of the largest match of two lists."""
+    """The pairs of the largest match of two lists; of several, the one that a walk back through the whole table finds.
+
+    Of a table too large to hold some rows are kept, and those between two of them made again.
+    """
     if not left or not right:
         return []
-    if len(left) > 1 and len(left) * len(right) > CELLS:
-        half = len(left) // 2
-        before = _rows(left[:half], right, same)
-        after = _rows(left[half:][::-1], right[::-1], same)[::-1]
-        cut = int(np.argmax(before + after))
-        return _pairs(left[:half], right[:cut], same) + _pairs(left[half:], right[cut:], same)
-    table = np.zeros((len(left) + 1, len(right) + 1), dtype=np.int32)
-    _rows(left, right, same, table)
-    i, j, out = len(left), len(right), []
-    while i and j:
-        if table[i][j] == table[i - 1][j]:
-            i -= 1
-        elif table[i][j] == table[i][j - 1]:
-            j -= 1
-        else:
-            i, j = i - 1, j - 1
-            out.append((left[i], right[j]))
+    weights, out = _weights(left, right, same), []
+
+    def back(row: np.ndarray, start: int, end: int, j: int) -> int:
+        """Walks from a place in the table's row ``end`` to row ``start``, which is given: the place it comes to."""
+        step = -(-(end - start) // max(CELLS // (j + 1), 2))
+        table = [row[: j + 1]]
+        for i in range(start, end):
+            row = _below(row[: j + 1], weights(left[i])[:j])
+            if (i + 1 - start) % step == 0 and i + 1 < end or step == 1:
+                table.append(row)
+        if step > 1:
+            for n in range(len(table) - 1, -1, -1):
+                j = back(table.pop(), start + n * step, min(start + (n + 1) * step, end), j)
+            return j
+        i = end - start
+        while i and j:
+            if table[i][j] == table[i - 1][j]:
+                i -= 1
+            elif table[i][j] == table[i][j - 1]:
+                j -= 1
+            else:
+                i, j = i - 1, j - 1
+                out.append((left[start + i], right[j]))
+        return j
+
+    back(np.zeros(len(right) + 1, dtype=np.int32), 0, len(left), len(right))
     return out[::-1]
 
 

@@ -164,6 +164,33 @@ def test_matches_equal_a_plain_table():
             assert 1 + sum(plain(x, y) for x, y in pairs if x and y) == plain(a, b)
 
 
+def test_blocks_are_matched_whatever_their_number():
+    def section(i, *more):
+        return wrapper.Slot("section", [*(wrapper.Slot(f"h{i // 4**k % 4}", [], 1, 0) for k in range(5)), *more], 1, 0)
+
+    for n in (20, 600):
+        left = [section(i) for i in range(n)]
+        right = [section(i, wrapper.Slot("p", [], 1, 0)) for i in range(1, n)]
+        assert wrapper._aligned(left, right) == [(left[0], None), *zip(left[1:], right, strict=True)]
+
+
+def test_no_bound_changes_which_blocks_are_paired(monkeypatch):
+    chance = random.Random(8)
+
+    def tree(levels):
+        below = [tree(levels - 1) for _ in range(chance.randrange(5))] if levels else []
+        return wrapper.Slot(chance.choice("abc"), below, 1, 0)
+
+    for _ in range(150):
+        a, b = ([tree(chance.randrange(1, 4)) for _ in range(chance.randrange(12))] for _ in "ab")
+        found = []
+        for few, cells, pairs in ((10**9, 10**9, 10**9), (32, 1 << 22, 1 << 18), (0, 4, 2), (1, 40, 2), (0, 10**9, 1)):
+            for name, most in (("FEW", few), ("CELLS", cells), ("PAIRS", pairs)):
+                monkeypatch.setattr(wrapper, name, most, raising=False)
+            found.append([(id(x), id(y)) for x, y in wrapper._aligned(a, b)])
+        assert all(pairs == found[0] for pairs in found)
+
+
 def test_fixed_titles_of_articles_stay():
     recipe = (
         "<h1>Cake {0}</h1><p>How we have baked cake number {0} all these years</p><h2>Ingredients</h2><p>Flour and eggs {0}</p>"
