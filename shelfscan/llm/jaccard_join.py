@@ -252,6 +252,28 @@ def _needed_filter(needed: DataFrame) -> np.ndarray:
     return out
 
 
+def _needed_sets(docs: DataFrame, needed: DataFrame, shingle: int) -> DataFrame:
+    """(node, elements) of the texts whose ids are needed, and of few others.
+
+    One worker a task leaves texts out and makes the sets: two would double what an executor's workers hold.
+    """
+    filter_bits = docs.sparkSession.sparkContext.broadcast(_needed_filter(needed))
+
+    def may_be_needed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = np.asarray(batch.column("doc_id").fill_null(0))
+            place = ids % (64 * len(filter_bits.value))
+            yield batch.filter(pa.array((filter_bits.value[place >> 6] >> (ids & 63)) & 1 == 1))
+
+    def make(ids, elements, first):
+        raw, bounds = elements.tobytes(), (8 * first).tolist()
+        sets = [raw[bounds[i] : bounds[i + 1]] for i in range(len(first) - 1)]
+        return {"node": _nodes(elements, first), "elements": pa.array(sets, pa.binary())}
+
+    each = _each(shingle, make)
+    return docs.select("doc_id", "text").mapInArrow(lambda x: each(may_be_needed(x)), "node bigint, elements binary")
+
+
 def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, shingle: int, percent: int) -> DataFrame:
     """The pairs (a, b) of nodes that are linked."""
     side = lambda x: nodes.select(*[F.col(c).alias(f"{c}_{x}") for c in ("node", "n_shingles", "bits", "doc_id")])
@@ -272,23 +294,8 @@ def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, shingle: int,
         likely.select("doc_id_b", "node_b")
     )
     needed = needed.distinct()
-    filter_bits = docs.sparkSession.sparkContext.broadcast(_needed_filter(needed))
-
-    def may_be_needed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = np.asarray(batch.column("doc_id").fill_null(0))
-            place = ids % (64 * len(filter_bits.value))
-            yield batch.filter(pa.array((filter_bits.value[place >> 6] >> (ids & 63)) & 1 == 1))
-
-    def make(ids, elements, first):
-        raw, bounds = elements.tobytes(), (8 * first).tolist()
-        sets = [raw[bounds[i] : bounds[i + 1]] for i in range(len(first) - 1)]
-        return {"doc_id": ids, "node": _nodes(elements, first), "elements": pa.array(sets, pa.binary())}
-
-    texts = docs.select("doc_id", "text").mapInArrow(may_be_needed, "doc_id bigint, text string")
-    sets = texts.mapInArrow(_each(shingle, make), "doc_id bigint, node bigint, elements binary").drop("doc_id")
     # sets are dealt out once, by node: equal sets are one, whichever text it is from
-    sets = sets.join(needed.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"])
+    sets = _needed_sets(docs, needed, shingle).join(needed.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"])
     with_a = likely.select("node_a", "node_b").join(
         sets.select(F.col("node").alias("node_a"), F.col("elements").alias("e_a")), "node_a"
     )

@@ -731,6 +731,18 @@ def test_what_is_kept_of_a_text_stands_as_it_was(spark):
     assert got[5] == "a " and got[6] in ("", None) and got[7] == " \n"
 
 
+def test_needed_sets_take_one_worker_a_task(docs, odd):
+    for part in (docs.limit(50), odd):
+        needed = part.filter("doc_id % 3 = 0").select("doc_id")
+        sets = jaccard_join._needed_sets(part, needed, 5)
+        plan = sets._jdf.queryExecution().executedPlan().toString()
+        assert len(re.findall(r"\bMapInArrow\b|PythonMapInArrow", plan)) == 1
+        made = jaccard_join.documents_of(part, 5)
+        sizes = {r.node: r.n_shingles for r in made.join(needed, "doc_id").collect()}
+        got = {r.node: len(r.elements) // 8 for r in sets.collect()}
+        assert sizes and sizes.items() <= got.items()
+
+
 def test_recent_keys_are_looked_up_and_old_ones_made_again(monkeypatch):
     monkeypatch.setattr(bpe, "RECENT", 2)
     made = []
