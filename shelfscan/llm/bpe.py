@@ -26,6 +26,7 @@ from __future__ import annotations
 import base64
 from array import array
 from collections.abc import Callable, Iterable, Iterator
+from itertools import batched
 
 import numpy as np
 import pandas as pd
@@ -37,7 +38,7 @@ from shelfscan.llm.chunks import chunks
 STATES, MOVES, PAIRS = 300_000, 600_000, 300_000
 
 #: Chunks and pieces whose ids a worker keeps (twice as many at most), and the longest of them.
-RECENT, RECENT_CHARS = 100_000, 64
+RECENT, RECENT_CHARS = 200_000, 64
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -67,13 +68,13 @@ def merge_plainly(piece: bytes, ranks: dict[bytes, int], below: int = 1 << 62) -
     return parts
 
 
-class _State:
-    """A state's key, the steps from it so far (byte to state and emitted ids) and what it emits at the end."""
+class _State(dict):
+    """The steps from a state so far (byte to state and emitted ids), its key and what it emits at the end."""
 
-    __slots__ = ("key", "moves", "ending")
+    __slots__ = ("key", "ending")
 
     def __init__(self, key: bytes):
-        self.key, self.moves, self.ending = key, {}, None
+        self.key, self.ending = key, None
 
 
 class Transducer:
@@ -82,6 +83,7 @@ class Transducer:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks, self.tokens = ranks, tokens_of(ranks)
         self.longest = max(map(len, ranks), default=1)
+        self.sizes = "BHI"[(self.longest > 0xFF) + (self.longest > 0xFFFF)]  # array code of a token's size
         self.beginnings = {token[:n] for token in ranks for n in range(1, len(token))}
         self.together: dict[int, bool] = {}
         self.halves: dict[bytes, tuple[bytes, bytes] | None] = {}
@@ -105,12 +107,13 @@ class Transducer:
         """A state: the bytes read since the emitted tokens; for every place in them the size of the
         last token of the encoding up to there (0: never needed again); the token before them
         (its rank and 1; 0: none; the number of ranks and 1: never needed again)."""
-        return before.to_bytes(4) + tail + array("H", sizes).tobytes()
+        return before.to_bytes(4) + tail + array(self.sizes, sizes).tobytes()
 
-    @staticmethod
-    def _parts(key: bytes) -> tuple[bytes, list[int], int]:
-        n = (len(key) - 4) // 3
-        return key[4 : 4 + n], list(memoryview(key[4 + n :]).cast("H")), int.from_bytes(key[:4])
+    def _parts(self, key: bytes) -> tuple[bytes, array, int]:
+        sizes = array(self.sizes)
+        n = (len(key) - 4) // (1 + sizes.itemsize)
+        sizes.frombytes(key[4 + n :])
+        return key[4 : 4 + n], sizes, int.from_bytes(key[:4])
 
     def _fits(self, before: bytes, token: bytes) -> bool:
         if not before:
@@ -159,12 +162,13 @@ class Transducer:
         if len(self.states) >= STATES or self.moves >= MOVES:
             self._forget()
             state = self._known(state.key)
+        ranks = self.ranks
         tail, sizes, before = self._parts(state.key)
-        tail += bytes([byte])
+        tail += bytes((byte,))
         n = len(tail)
         for size in range(min(n, self.longest), 0, -1):
             token = tail[n - size :]
-            if token not in self.ranks:
+            if token not in ranks:
                 continue
             if n > size:
                 had = sizes[n - size - 1]
@@ -176,26 +180,36 @@ class Transducer:
             size = 0
         sizes.append(size)
         # a later token can start only where the bytes since then begin some token
-        shared, used = None, set()
-        for place in range(max(0, n + 1 - self.longest), n + 1):
-            if place < n and tail[place:] not in self.beginnings or place and not sizes[place - 1]:
-                continue
-            cuts, at = [], place
-            while at > 0:
-                cuts.append(at)
-                at -= sizes[at - 1]
-            used.update(cuts)
-            cuts.reverse()
-            shared = cuts if shared is None else [a for a, b in zip(shared, cuts, strict=False) if a == b]
-        shared = shared or []
-        out = tuple(self.ranks[tail[at - sizes[at - 1] : at]] for at in shared)
-        sizes = [size if i + 1 in used else 0 for i, size in enumerate(sizes)]
+        beginnings, places = self.beginnings, {n} if size else set()
+        for place in range(max(0, n + 1 - self.longest), n):
+            if (not place or sizes[place - 1]) and tail[place:] in beginnings:
+                places.add(place)
+        # the encodings up to these places share those up to where, from the last place on, all have met
+        met, left = [0] * n, len(places)
+        shared = n if left else 0
+        while left > 1:
+            if shared in places:
+                size = met[shared - 1] = sizes[shared - 1]
+                if shared - size in places:
+                    left -= 1
+                else:
+                    places.add(shared - size)
+            shared -= 1
+        while shared and shared not in places:
+            shared -= 1
+        out = ()
         if shared:
-            tail, sizes, before = tail[shared[-1] :], sizes[shared[-1] :], out[-1] + 1
-        if tail and tail not in self.beginnings:
+            at, cuts = shared, []
+            while at > 0:
+                size = sizes[at - 1]
+                cuts.append(ranks[tail[at - size : at]])
+                at -= size
+            out = tuple(cuts[::-1])
+            tail, met, before = tail[shared:], met[shared:], out[-1] + 1
+        if tail and tail not in beginnings:
             before = len(self.tokens) + 1  # nothing can start there any more
-        target = self._known(self._key(tail, sizes, before))
-        move = state.moves[byte] = target, self.emissions.setdefault(out, out)
+        target = self._known(self._key(tail, met, before))
+        move = state[byte] = target, self.emissions.setdefault(out, out)
         self.moves += 1
         return move
 
@@ -214,10 +228,10 @@ class Transducer:
             return [whole]
         state, out = self.start, []
         for byte in piece:
-            move = state.moves.get(byte)
-            if move is None:
-                move = self._determinise(state, byte)
-            state, emitted = move
+            try:
+                state, emitted = state[byte]
+            except KeyError:
+                state, emitted = self._determinise(state, byte)
             if emitted:
                 out += emitted
         if state.ending is None:
@@ -262,13 +276,9 @@ class Utf8Stream:
 
 def decode_stream(ids: Iterable[int], tokens: list[bytes], step: int = 4096) -> Iterator[str]:
     """Text of ids as it becomes known, ``step`` ids at a time."""
-    stream, batch = Utf8Stream(), []
-    for i in ids:
-        batch.append(tokens[i])
-        if len(batch) == step:
-            yield stream.feed(b"".join(batch))
-            batch = []
-    yield stream.feed(b"".join(batch))
+    stream = Utf8Stream()
+    for part in batched(ids, step):
+        yield stream.feed(b"".join([tokens[i] for i in part]))
     yield stream.end()
 
 
@@ -348,7 +358,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, text: str = "text
         encode = encoder(path, pattern).encode
         return {ids: [encode(t) if isinstance(t, str) else b"" for t in part[text]]}
 
-    return _mapped(docs, kept, docs.schema.add(ids, "binary"), columns)
+    return _mapped(docs, kept, docs.select(*kept).schema.add(ids, "binary"), columns)
 
 
 def _decoded(ids: bytes | None, tokens: list[bytes]) -> str:
@@ -370,7 +380,7 @@ def decode_documents(encoded: DataFrame, path: str, ids: str = "ids", text: str
     kept = [c for c in encoded.columns if c != text]
     encoded = encoded.select(*kept)
     columns = lambda part: {text: [_decoded(x, _tokens(path)) for x in part[ids]]}
-    return _mapped(encoded, kept, encoded.schema.add(text, "string"), columns)
+    return _mapped(encoded, kept, encoded.select(*kept).schema.add(text, "string"), columns)
 
 
 def round_trip(

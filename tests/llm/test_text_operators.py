@@ -605,6 +605,32 @@ def test_documents_come_back(docs, odd, none):
     assert bpe.encode_documents(none, RANKS, P.PATTERN).count() == 0
 
 
+def test_tables_given_keep_their_schema(docs):
+    given = docs.select("doc_id", "text")
+    encoded = bpe.encode_documents(given, RANKS, P.PATTERN)
+    assert given.columns == ["doc_id", "text"] and encoded.columns == ["doc_id", "text", "ids"]
+    assert bpe.decode_documents(encoded, RANKS).columns == ["doc_id", "text", "ids", "decoded"]
+    assert encoded.columns == ["doc_id", "text", "ids"]
+
+
+def test_steps_with_tokens_of_any_length_equal_plain_merges():
+    """A state keeps the sizes of tokens in one byte each where these are short, else in more."""
+    rng = random.Random(9)
+    for longest in (5, 200, 300):
+        tokens = [bytes([b]) for b in range(256)] + [b"ab", b"abab", b"bc", b"ca", b"cab"]
+        while len(tokens[-1]) < longest:
+            tokens.append(tokens[-1] + rng.choice(tokens[256:261]))
+        ranks = {token: i for i, token in enumerate(dict.fromkeys(tokens))}
+        transducer = bpe.Transducer(ranks)
+        for _ in range(60):
+            piece = b"".join(rng.choice(tokens[256:]) for _ in range(rng.randrange(1, 9)))[:700]
+            if piece not in ranks:
+                assert transducer.encode(piece) == [ranks[t] for t in bpe.merge_plainly(piece, ranks)]
+        if longest == 200:
+            keys = [key for key in transducer.states if len(key) > 4]
+            assert all(len(key) % 2 == 0 and transducer._parts(key)[0] == key[4 : 2 + len(key) // 2] for key in keys)
+
+
 # quality rules
 
 
