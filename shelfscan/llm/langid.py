@@ -30,6 +30,9 @@ UNDETERMINED = "und"
 #: Code points handled at once by a task.
 CHUNK_CHARS = 400_000
 
+#: Numbers in a table of vectors, or of counts by text, that a task holds at once.
+CELLS = 1 << 22
+
 _LETTER: np.ndarray | None = None
 
 
@@ -105,7 +108,7 @@ def _bundle_chunk(texts: list[str], dim: int, n: int) -> np.ndarray:
         return out
     distinct, gram = _distinct(code, m**n)
     vectors = letter_vectors(alphabet, dim)
-    step = max(1, (1 << 24) // dim)
+    step = max(1, CELLS // max(dim, len(texts)))
     for at in range(0, len(distinct), step):
         part = distinct[at : at + step]
         bound, rest = None, part

@@ -15,7 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text handled at once; a longer text is a block of its own.
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15

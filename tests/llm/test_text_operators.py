@@ -6,18 +6,21 @@ import hashlib
 import random
 import re
 import time
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
-from shelfscan.llm import bpe, cascade, jaccard_join, langid, packing, quality_gam, substring_dedup, token_counts, topk, wrapper
+from shelfscan.llm import bpe, cascade, components as components_module, jaccard_join, langid, packing, quality_gam, substring_dedup, token_counts, topk, wrapper
 from shelfscan.llm.chunks import chunks
 from shelfscan.llm.components import components
+from shelfscan.llm.tables import checkpointed
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 RANKS = P.path("byte_bpe_50k.tiktoken")
@@ -535,6 +538,61 @@ def test_components_of_chains(spark):
     assert got == {**{i: 0 for i in [*range(41), 100]}, 200: 200, 201: 200}
 
 
+def test_rounds_of_few_edges_have_few_partitions(spark, monkeypatch):
+    parts = []
+    monkeypatch.setattr(components_module, "checkpointed", lambda df: parts.append(df.rdd.getNumPartitions()) or checkpointed(df))
+    settings = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        links = spark.range(60).selectExpr("id AS a", "id + 3 AS b")
+        got = {r.node: r.root for r in components(links).collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == {i: i % 3 for i in range(63)}
+    assert len(parts) > 2 and max(parts[1:]) <= spark.sparkContext.defaultParallelism
+
+# memory of a task's tables
+
+
+def _peak(make) -> tuple[object, float]:
+    """What ``make`` returns, and the most MB it held at once."""
+    tracemalloc.start()
+    try:
+        return make(), tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+
+
+def test_language_tables_of_many_short_texts_are_bounded(monkeypatch):
+    rng = random.Random(3)
+    some = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyzéèüö") for _ in range(40)) for _ in range(6000)]
+    langid.bundles(["warm up"], 512, 3)
+    got, peak = _peak(lambda: langid.bundles(some, 512, 3))
+    assert peak < 250
+    monkeypatch.setattr(langid, "CELLS", 1 << 30)
+    assert (got[:200] == langid.bundles(some, 512, 3)[:200]).all()
+
+
+def test_sets_of_a_batch_are_made_in_small_blocks():
+    rng = random.Random(4)
+    batch = pa.record_batch({
+        "doc_id": pa.array(range(600), pa.int64()),
+        "text": [" ".join(f"w{rng.randrange(5000)}" for _ in range(300)) for _ in range(600)],
+    })
+
+    def rows(some):
+        return [(x["doc_id"], x["node"]) for out in run(iter(some)) for x in out.to_pylist()]
+
+    make = lambda ids, elements, first: {"doc_id": ids, "node": jaccard_join._nodes(elements, first)}
+    run = jaccard_join._each(jaccard_join.SHINGLE, make)
+    one = rows([batch.slice(i, 1) for i in range(600)])
+    got, peak = _peak(lambda: rows([batch]))
+    assert got == one and peak < 20
+
+
 # top-k
 
 
