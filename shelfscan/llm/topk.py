@@ -1,12 +1,17 @@
 """Exact top-k inner products by exhaustive term-at-a-time accumulation.
 
-Rows are vectors of whole numbers. Candidates are cut into blocks of a fixed size,
-each turned into postings (for every component, the rows where it is not zero and
-their weights); queries into blocks of sparse rows. For every pair of blocks, each
-component of the queries scatters its weighted postings into dense score arrays,
-and the best k of a block are selected by partition. The bests of all blocks are
-merged: first per query and group of blocks, then per query. Work and memory of a
-task depend on the block sizes alone; more rows make more blocks.
+Rows are vectors of whole numbers. Candidates and queries are cut into blocks, whose
+numbers are packed in as few bytes as hold them. Every pair of blocks is a task:
+the candidates are turned into postings (for every component, the rows where it is
+not zero and their weights), each component of a query scatters its weighted
+postings into a dense score array, and the best k of a block are selected by
+partition. The bests of all blocks are merged: first per query and group of blocks,
+then per query.
+
+Tasks fetch their two blocks where these were shuffled to: no block is broadcast,
+nor written once per block of the other side, and a task hands one pair to Python.
+Memory of a task depends on the block sizes alone, which are bounded by rows and by
+numbers; more rows make more blocks.
 
 Ties go to the smaller id, within a block and in the merge. Defined results: rows
 whose vector is null, or holds null, NaN or infinite components, take no part. A
@@ -19,13 +24,21 @@ no rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
-#: Rows of a block of candidates and of queries.
+#: Rows of a block of candidates and of queries, at least, while ``CELLS`` lets them.
 CANDIDATES, QUERIES = 16384, 256
+#: Blocks of candidates and of queries that larger blocks are made to keep to.
+CANDIDATE_BLOCKS, QUERY_BLOCKS = 64, 16
+#: Numbers of a block at most, but for one row that is longer and for what chance deals out.
+CELLS = 1 << 22
+#: Columns of a block besides its number: ids and lengths of rows, bytes of a number, all numbers.
+BLOCK = [("ids", pa.binary()), ("lengths", pa.binary()), ("bytes", pa.int32()), ("numbers", pa.binary())]
 
 
 def scaled_floor(vectors: DataFrame, scale: int = 256, vector: str = "embedding") -> DataFrame:
@@ -36,10 +49,55 @@ def scaled_floor(vectors: DataFrame, scale: int = 256, vector: str = "embedding"
     return vectors.filter(fit).withColumn(vector, whole)
 
 
-def _postings(dense: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-    """(rows, weights) of every component."""
-    rows = [np.flatnonzero(column) for column in dense.T]
-    return [(r, column[r].copy()) for r, column in zip(rows, dense.T, strict=True)]
+class Rows(NamedTuple):
+    """Ids, lengths and numbers, one after the other, of a block's vectors."""
+
+    ids: np.ndarray
+    lengths: np.ndarray
+    values: np.ndarray
+
+
+def _narrowed(values: np.ndarray) -> np.ndarray:
+    """``values`` in the narrowest of three kinds that holds them all."""
+    least, most = (values.min(), values.max()) if len(values) else (0, 0)
+    for kind in (np.int16, np.int32):
+        if np.iinfo(kind).min <= least and most <= np.iinfo(kind).max:
+            return values.astype(kind)
+    return values
+
+
+def _columns(rows: Rows) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(component, rows where it is not zero, their weights)."""
+    many, width = len(rows.ids), int(rows.lengths.max(initial=0))
+    if len(rows.values) == many * width:
+        for term, column in enumerate(rows.values.reshape(many, width).T):
+            at = np.flatnonzero(column)
+            yield term, at, column[at]
+        return
+    places = np.flatnonzero(rows.values)
+    at = np.repeat(np.arange(many), rows.lengths)[places]
+    term = places - (np.cumsum(rows.lengths, dtype=np.int64) - rows.lengths)[at]
+    order = np.argsort(term, kind="stable")
+    at, term, weights = at[order], term[order], rows.values[places[order]]
+    begins = np.flatnonzero(np.diff(term, prepend=-1))
+    for begin, end in zip(begins, [*begins[1:], len(term)], strict=True):
+        yield int(term[begin]), at[begin:end], weights[begin:end]
+
+
+def _postings(rows: Rows) -> dict[int, tuple[np.ndarray | None, np.ndarray]]:
+    """(rows, weights) by component; no rows where weights has them all, as it does if a quarter is not zero."""
+    kind, lists = np.int64 if rows.values.dtype == np.int64 else np.int32, {}
+    for term, at, weights in _columns(rows):
+        if 4 * len(at) > len(rows.ids):
+            lists[term] = None, np.zeros(len(rows.ids), kind)
+            lists[term][1][at] = weights
+        elif len(at):
+            lists[term] = at, weights.astype(kind)
+    return lists
+
+
+def _most(values: np.ndarray) -> float:
+    return float(np.abs(values.astype(np.float64)).max(initial=0))
 
 
 def _best(scores: np.ndarray, ids: np.ndarray, allowed: np.ndarray, k: int) -> np.ndarray:
@@ -56,47 +114,67 @@ def _best(scores: np.ndarray, ids: np.ndarray, allowed: np.ndarray, k: int) -> n
     return places[np.lexsort((ids[places], -scores[places]))]
 
 
-def _search_block(q_ids, queries, ids, lists, k: int) -> pd.DataFrame:
-    scores = np.zeros((len(q_ids), len(ids)), np.int64)
-    for row, values in zip(scores, queries, strict=True):
-        for term in np.flatnonzero(values[: len(lists)]):
-            rows, weights = lists[term]
-            if len(rows) == len(row):  # every row has it
-                row += values[term] * weights
-            else:
-                row[rows] += values[term] * weights
-    best = [_best(row, ids, ids != query, k) for query, row in zip(q_ids, scores, strict=True)]
-    sizes = [len(b) for b in best]
-    at = np.concatenate(best)
-    line = np.repeat(np.arange(len(q_ids)), sizes)
-    return pd.DataFrame({"query_id": q_ids[line], "vec_id": ids[at], "score": scores[line, at]})
-
-
-def _blocks(rows: DataFrame, deal: F.Column, size: int, name: str) -> tuple[DataFrame, int]:
-    """(name, ids, width, weights), about ``size`` rows packed in each, and how many blocks there are.
+def _search_block(queries: Rows, candidates: Rows, lists: dict, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query id, id, score) of the k best of a block for each query."""
+    ids, ends = candidates.ids, np.cumsum(queries.lengths, dtype=np.int64)
+    # no sum on the way to a score is larger than this; numbers of half the bytes take half the time
+    most = _most(queries.values) * _most(candidates.values) * int(queries.lengths.max(initial=0))
+    fits = most <= np.iinfo(np.int32).max
+    scores = np.zeros(len(ids), np.int32 if fits else np.int64)
+    product, found = np.zeros_like(scores), []
+    for query, length, end in zip(queries.ids, queries.lengths, ends, strict=True):
+        values = queries.values[end - length : end]
+        scores.fill(0)
+        for term in np.flatnonzero(values).tolist():
+            rows, weights = lists.get(term, (None, None))
+            weight = scores.dtype.type(values[term])
+            if rows is not None:
+                scores[rows] += weight * weights
+            elif weights is not None:
+                scores += np.multiply(weights, weight, out=product)
+        best = _best(scores, ids, ids != query, k)
+        found.append((np.full(len(best), query), ids[best], scores[best].astype(np.int64)))
+    return tuple(map(np.concatenate, zip(*found, strict=True)))
+
+
+def _blocks(rows: DataFrame, deal: F.Column, least: int, blocks: int, name: str) -> DataFrame:
+    """(name, ids, lengths, bytes of a number, numbers): blocks of rows, each alone in a partition.
 
     ``deal`` differs from row to row, so no id or vector, however common, makes a large block.
     """
-    many = max(1, -(-rows.count() // size))
-
-    def packed(block: pd.DataFrame) -> pd.DataFrame:
-        width = max(map(len, block["vector"]))
-        dense = np.zeros((len(block), width), np.int64)
-        for row, values in zip(dense, block["vector"], strict=True):
-            row[: len(values)] = values
-        ids = block["id"].to_numpy(np.int64)
-        return pd.DataFrame(
-            {name: [block[name].iloc[0]], "ids": [ids.tobytes()], "width": [width], "weights": [dense.tobytes()]}
-        )
+    n, cells = rows.agg(F.count("*"), F.sum(F.size("vector").cast("long"))).first()
+    size = min(max(least, -(-n // blocks)), max(1, CELLS * n // max(1, cells or 0)))
+    many = max(1, -(-n // size))
+
+    kinds = pa.schema([(name, pa.int64()), *BLOCK])
+
+    def packed(block: pa.Table) -> pa.Table:
+        vectors = block["vector"].combine_chunks()
+        values = _narrowed(vectors.flatten().to_numpy(zero_copy_only=False).astype(np.int64, copy=False))
+        lengths = pc.list_value_length(vectors).to_numpy(zero_copy_only=False).astype(np.int32, copy=False)
+        ids = block["id"].to_numpy().astype(np.int64, copy=False)
+        one = [block[name][0].as_py(), ids.tobytes(), lengths.tobytes(), values.itemsize, values.tobytes()]
+        return pa.table([[x] for x in one], kinds)
 
     dealt = rows.withColumn(name, F.pmod(deal, F.lit(many)))
-    schema = f"{name} bigint, ids binary, width int, weights binary"
-    return dealt.groupBy(name).applyInPandas(packed, schema), many
+    schema = f"{name} bigint, ids binary, lengths binary, bytes int, numbers binary"
+    return dealt.groupBy(name).applyInArrow(packed, schema).repartitionById(many, F.col(name).cast("int"))
 
 
-def _unpacked(ids: bytes, width: int, weights: bytes) -> tuple[np.ndarray, np.ndarray]:
-    ids = np.frombuffer(ids, np.int64)
-    return ids, np.frombuffer(weights, np.int64).reshape(len(ids), width)
+def _unpacked(ids: pa.Scalar, lengths: pa.Scalar, size: pa.Scalar, numbers: pa.Scalar) -> Rows:
+    read = lambda x, kind: np.frombuffer(x.as_buffer(), kind)
+    return Rows(read(ids, np.int64), read(lengths, np.int32), read(numbers, f"i{size.as_py()}"))
+
+
+def _pairs(candidates: DataFrame, queries: DataFrame, id: str, vector: str) -> DataFrame:
+    """Every block of candidates with every block of queries: one pair in a partition."""
+    pick = lambda df: df.select(F.col(id).alias("id"), F.col(vector).alias("vector")).dropna()
+    any_row = F.xxhash64(F.monotonically_increasing_id())
+    c_blocks = _blocks(pick(candidates), any_row, CANDIDATES, CANDIDATE_BLOCKS, "c")
+    q_blocks = _blocks(pick(queries).dropDuplicates(), F.xxhash64("id", "vector"), QUERIES, QUERY_BLOCKS, "q")
+    asked = q_blocks.select("q", *(F.col(c).alias(f"q_{c}") for c, _ in BLOCK))
+    # the stated queries go to every block of candidates; the planner is not to broadcast a side
+    return c_blocks.hint("shuffle_replicate_nl").crossJoin(asked)
 
 
 def top_k(
@@ -107,29 +185,21 @@ def top_k(
     vector: str = "embedding",
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the k best candidates of every query."""
-    pick = lambda df: df.select(F.col(id).alias("id"), F.col(vector).alias("vector")).dropna()
-    c_blocks, c_many = _blocks(pick(candidates), F.xxhash64(F.monotonically_increasing_id()), CANDIDATES, "c")
-    q_blocks, _ = _blocks(pick(queries).dropDuplicates(), F.xxhash64("id", "vector"), QUERIES, "q")
-    # the stated queries go to every block of candidates; a row is the work of one pair of blocks
-    asked = q_blocks.select(
-        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(c_many - 1).cast("long"))).alias("c"),
-        F.col("ids").alias("q_ids"),
-        F.col("width").alias("q_width"),
-        F.col("weights").alias("q_weights"),
-    )
-    pairs = c_blocks.join(asked, "c")
-
-    def search(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current, ids, lists = None, None, None
+    kinds = pa.schema([(name, pa.int64()) for name in ("query_id", "vec_id", "score", "c")])
+
+    def search(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, rows, lists = None, None, None
         for part in parts:
-            for row in part.itertuples(index=False):
-                if row.c != current:  # the pairs of a block come one after the other
-                    ids, dense = _unpacked(row.ids, row.width, row.weights)
-                    current, lists = row.c, _postings(dense)
-                q_ids, asked_for = _unpacked(row.q_ids, row.q_width, row.q_weights)
-                yield _search_block(q_ids, asked_for, ids, lists, k).assign(c=row.c)
-
-    local = pairs.mapInPandas(search, "query_id bigint, vec_id bigint, score bigint, c bigint")
+            for line in zip(*part.columns, strict=True):
+                c, own, asked = line[0].as_py(), line[1:5], line[6:]
+                if c != current:  # the pairs of a block come one after the other
+                    current, rows = c, _unpacked(*own)
+                    lists = _postings(rows)
+                found = _search_block(_unpacked(*asked), rows, lists, k)
+                yield pa.record_batch([*found, np.full(len(found[0]), current)], schema=kinds)
+
+    schema = ", ".join(f"{name} bigint" for name in kinds.names)
+    local = _pairs(candidates, queries, id, vector).mapInArrow(search, schema)
     order = [F.desc("score"), F.asc("vec_id")]
     for keys in (["query_id", F.floor(F.col("c") / 64)], ["query_id"]):
         rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))

@@ -620,6 +620,46 @@ def test_top_k_over_several_blocks(spark, monkeypatch):
     assert sorted(tuple(r) for r in got) == expected
 
 
+def _vectors(kind):
+    """Ids and vectors, some of them alike: of small or large numbers, or of few numbers and any length."""
+    rng = random.Random(4)
+    most = 3 if kind == "ragged" else 10 ** {"small": 2, "medium": 5, "large": 9}[kind]
+    number = lambda: rng.choice([0, 0, 0, 0, 0, rng.randint(-most, most)]) if kind == "ragged" else rng.randint(-most, most)
+    rows = [(i, [number() for _ in range(rng.randrange(40) if kind == "ragged" else 5)]) for i in range(200)]
+    return [*rows, (7, rows[8][1]), (7, rows[8][1]), (205, rows[3][1]), (210, [])]
+
+
+@pytest.mark.parametrize("kind", ["small", "medium", "large", "ragged"])
+def test_top_k_equals_brute_force(spark, monkeypatch, kind):
+    monkeypatch.setattr(topk, "CANDIDATES", 60)
+    monkeypatch.setattr(topk, "QUERIES", 9)
+    rows = _vectors(kind)
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<bigint>")
+    expected = []
+    for q, x in (r for r in rows if r[0] % 10 == 0):
+        scored = sorted((-sum(a * b for a, b in zip(x, y)), i) for i, y in rows if i != q)[:4]  # noqa: B905
+        expected += [(q, rank, i, -s) for rank, (s, i) in enumerate(scored, 1)]
+    got = topk.top_k(df, df.filter("vec_id % 10 = 0"), 4).collect()
+    assert sorted(tuple(r) for r in got) == sorted(expected)
+
+
+def test_top_k_broadcasts_no_block(spark, plan_of):
+    df = spark.createDataFrame(_vectors("small"), "vec_id bigint, embedding array<bigint>")
+    assert "Broadcast" not in plan_of(topk.top_k(df, df.filter("vec_id % 10 = 0"), 4), run=True)
+
+
+def test_top_k_hands_over_one_pair_of_small_blocks_in_a_task(spark, monkeypatch):
+    for name, most in (("CANDIDATES", 10), ("QUERIES", 5), ("CANDIDATE_BLOCKS", 4), ("QUERY_BLOCKS", 2), ("CELLS", 150)):
+        monkeypatch.setattr(topk, name, most)
+    df = spark.createDataFrame(_vectors("small"), "vec_id bigint, embedding array<bigint>")
+    pairs = topk._pairs(df, df.filter("vec_id % 10 = 0"), "vec_id", "embedding")
+    held = pairs.select(F.spark_partition_id().alias("task"), "c", "q", "bytes", F.octet_length("numbers").alias("size")).collect()
+    blocks, asked = {r.c for r in held}, {r.q for r in held}
+    assert len(blocks) > 4 and len(asked) > 1 and len(held) == len(blocks) * len(asked) == len({r.task for r in held})
+    assert {r.bytes for r in held} == {2}  # numbers of eight bytes were packed as such
+    assert sum({r.c: r.size for r in held}.values()) == 2 * sum(len(x) for _, x in _vectors("small"))
+
+
 # byte-level encoding
 
 
