@@ -69,8 +69,10 @@ def _narrowed(values: np.ndarray) -> np.ndarray:
 def _columns(rows: Rows) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(component, rows where it is not zero, their weights)."""
     many, width = len(rows.ids), int(rows.lengths.max(initial=0))
-    if len(rows.values) == many * width:
-        for term, column in enumerate(rows.values.reshape(many, width).T):
+    if many * width <= 2 * len(rows.values):  # a few shorter rows are filled up
+        dense = np.zeros((many, width), rows.values.dtype)
+        dense[np.arange(width) < rows.lengths[:, None]] = rows.values
+        for term, column in enumerate(dense.T):
             at = np.flatnonzero(column)
             yield term, at, column[at]
         return
@@ -96,8 +98,9 @@ def _postings(rows: Rows) -> dict[int, tuple[np.ndarray | None, np.ndarray]]:
     return lists
 
 
-def _most(values: np.ndarray) -> float:
-    return float(np.abs(values.astype(np.float64)).max(initial=0))
+def _most(values: np.ndarray) -> int:
+    """The largest of ``values`` without their signs; no array is made for it."""
+    return max(-int(values.min()), int(values.max())) if len(values) else 0
 
 
 def _best(scores: np.ndarray, ids: np.ndarray, allowed: np.ndarray, k: int) -> np.ndarray:
